@@ -60,14 +60,6 @@ def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(WHITESPACE))
 
 
-def integral(field: T.StructField) -> Column:
-    """True where a present numeric value has no fraction."""
-    column = name(field.name)
-    if isinstance(field.dataType, (*FLOAT_TYPES, T.DecimalType)):
-        return column == F.floor(column)
-    return F.lit(True) if is_numeric(field.dataType) else F.lit(False)
-
-
 def row_key(columns: Sequence[str]) -> Column:
     """Text key of a row: the single key column, or its parts joined by ``|``."""
     if len(columns) == 1:

@@ -1,8 +1,9 @@
 """Exact percentiles with linear interpolation, for columns of any size.
 
-Spark's ``percentile`` keeps one entry per distinct value in a single task. That is fine while the
-number of distinct values is bounded; beyond that the value range is narrowed around the wanted
-ranks by scans that carry only counters and sketches, until few rows are left between the bounds.
+Spark's ``percentile`` keeps one entry per distinct value in a single task. That is right while the
+distinct values are few. For other columns a sketch brackets the wanted ranks, a counting scan
+makes the brackets exact, and only the rows between them are looked at. Scans carry counters and
+sketches, never the column itself.
 """
 
 from __future__ import annotations
@@ -16,29 +17,50 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import name
 
-DIRECT_LIMIT = 1_000_000
-SKETCH_ACCURACY = 10_000
+DIRECT_LIMIT = 10_000       # distinct values that one percentile aggregate may hold
+BRACKET_LIMIT = 1_000_000   # rows between the brackets that may be sorted together
+SKETCH_ACCURACY = 2_000
+SLACK = 3.0 / SKETCH_ACCURACY
 
 
 @dataclass
 class _Search:
-    """One wanted rank of one column and the closed value range known to hold it."""
+    """Two neighbouring ranks of one column and the closed value range known to hold both."""
 
     column: str
-    rank: int
+    lower: int
+    upper: int
+    rows: int
     low: float | None = None
     high: float | None = None
     below: int = 0
-    inside: int = 0
     settled: bool = False
 
-    def in_range(self, value: Column) -> Column:
+    def inside(self) -> Column:
+        value = _value(self.column)
         condition = value.isNotNull()
         if self.low is not None:
             condition = condition & (value >= F.lit(self.low))
         if self.high is not None:
             condition = condition & (value <= F.lit(self.high))
-        return condition
+        return F.when(condition, value)
+
+    def bracket(self) -> list[float]:
+        """Shares of the range between which the ranks are expected."""
+        last = max(self.rows - 1, 1)
+        return [max(0.0, (self.lower - self.below) / last - SLACK),
+                min(1.0, (self.upper - self.below) / last + SLACK)]
+
+    def narrow(self, low: float, high: float, below: int, upto: int) -> None:
+        """Take over a bracket as far as its exact counts confirm it."""
+        before, end = self.rows, self.below + self.rows
+        if below <= self.lower:
+            self.low, self.below = low, below
+        if upto > self.upper:
+            self.high, end = high, upto
+        self.rows = end - self.below
+        # A range that stops shrinking consists of ties: few distinct values are left in it.
+        self.settled = self.low == self.high or self.rows > before // 2
 
 
 def _value(column: str) -> Column:
@@ -46,95 +68,91 @@ def _value(column: str) -> Column:
     return F.when(~F.isnan(value), value + F.lit(0.0))
 
 
-def _bounds(searches: Sequence[_Search], df: DataFrame) -> None:
-    """Narrow every open search by one sketch scan and one counting scan."""
-    sketch = []
-    for i, s in enumerate(searches):
-        share = (s.rank - s.below) / max(s.inside - 1, 1)
-        slack = 3.0 / SKETCH_ACCURACY
-        ends = [max(0.0, share - slack), min(1.0, share + slack)]
-        inside = F.when(s.in_range(_value(s.column)), _value(s.column))
-        sketch.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"e{i}"))
-    ends = df.agg(*sketch).first()
-    counters = []
-    for i, s in enumerate(searches):
-        low, high = ends[f"e{i}"]
-        counters += [F.count_if(_value(s.column) < F.lit(low)).alias(f"b{i}"),
-                     F.count_if(_value(s.column) <= F.lit(high)).alias(f"u{i}")]
+def _sketch(value: Column, shares: Sequence[float]) -> Column:
+    return F.percentile_approx(value, list(shares), SKETCH_ACCURACY)
+
+
+def _narrow_all(df: DataFrame, searches: Sequence[_Search],
+                brackets: Sequence[Sequence[float]]) -> None:
+    counters = [m for i, (s, (low, high)) in enumerate(zip(searches, brackets)) for m in (
+        F.count_if(_value(s.column) < F.lit(low)).alias(f"b{i}"),
+        F.count_if(_value(s.column) <= F.lit(high)).alias(f"u{i}"))]
     counts = df.agg(*counters).first()
-    for i, s in enumerate(searches):
-        low, high = ends[f"e{i}"]
-        below, upto = counts[f"b{i}"], counts[f"u{i}"]
-        before = s.inside
-        end = s.below + s.inside
-        if below <= s.rank:
-            s.low, s.below = low, below
-        if upto > s.rank:
-            s.high, end = high, upto
-        s.inside = end - s.below
-        # A range that no longer shrinks is one of tied values: few distinct ones are left.
-        s.settled = s.low == s.high or s.inside > before // 2
-
-
-def _read_off(searches: Sequence[_Search], df: DataFrame) -> list[float]:
-    """Value at each wanted rank, from the value counts inside its final range."""
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"),
-                 F.when(s.in_range(_value(s.column)), _value(s.column)).alias("v"))
-        for i, s in enumerate(searches)]))
-    counted = (df.select(cells.alias("c")).select("c.*").where("v is not null")
+    for i, (s, (low, high)) in enumerate(zip(searches, brackets)):
+        s.narrow(low, high, counts[f"b{i}"], counts[f"u{i}"])
+
+
+def _read_off(df: DataFrame, searches: Sequence[_Search]) -> list[tuple[float, float]]:
+    """Values at both ranks of each search, from the value counts inside its range."""
+    values = [s.inside() for s in searches]
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), v.alias("v"))
+                                for i, v in enumerate(values)]))
+    # Few rows lie in any range: drop the others before the cells are laid out.
+    held = df.where(F.coalesce(*values).isNotNull())
+    counted = (held.select(cells.alias("c")).select("c.*").where("v is not null")
                .groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")))
-    running = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
-    wanted = F.get(F.array(*[F.lit(s.rank - s.below) for s in searches]), F.col("i"))
-    hits = (counted.withColumn("upto", running)
-            .where((F.col("upto") > wanted) & (F.col("upto") - F.col("n") <= wanted))
-            .select("i", "v").collect())
-    found = {r.i: r.v for r in hits}
+    lower = F.get(F.array(*[F.lit(s.lower - s.below) for s in searches]), F.col("i"))
+    upper = F.get(F.array(*[F.lit(s.upper - s.below) for s in searches]), F.col("i"))
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+
+    def holds(rank: Column) -> Column:
+        return (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+
+    hits = (counted.withColumn("upto", upto)
+            .groupBy("i").agg(F.max(F.when(holds(lower), F.col("v"))).alias("a"),
+                              F.max(F.when(holds(upper), F.col("v"))).alias("b")).collect())
+    found = {r.i: (r.a, r.b) for r in hits}
     return [found[i] for i in range(len(searches))]
 
 
 def exact_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float],
-                      limit: int = DIRECT_LIMIT) -> dict[str, list[float | None]]:
+                      direct_limit: int = DIRECT_LIMIT,
+                      bracket_limit: int = BRACKET_LIMIT) -> dict[str, list[float | None]]:
     """Exact interpolated percentiles of the present values of each column.
 
-    ``limit`` bounds how many distinct values one task may hold.
+    The limits bound what one task may hold; they change the way, never the result.
     """
     columns = list(columns)
     if not columns:
         return {}
+    ends = [e for p in shares for e in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
     first = df.agg(*[m for i, c in enumerate(columns) for m in (
-        F.count(_value(c)).alias(f"n{i}"),
-        F.approx_count_distinct(_value(c)).alias(f"d{i}"))]).first()
+        F.count(_value(c)).alias(f"n{i}"), F.approx_count_distinct(_value(c)).alias(f"d{i}"),
+        _sketch(_value(c), ends).alias(f"s{i}"))]).first()
     counts = {c: first[f"n{i}"] for i, c in enumerate(columns)}
+    result: dict[str, list[float | None]] = {c: [None] * len(shares) for c in columns}
     # The distinct estimate is within a few percent; 1.2 leaves room for its error.
     direct = [c for i, c in enumerate(columns)
-              if counts[c] and min(counts[c], 1.2 * first[f"d{i}"]) <= limit]
-    result: dict[str, list[float | None]] = {c: [None] * len(shares) for c in columns}
+              if counts[c] and min(counts[c], 1.2 * first[f"d{i}"]) <= direct_limit]
     if direct:
         row = df.agg(*[F.percentile(_value(c), [float(p) for p in shares]).alias(f"p{i}")
                        for i, c in enumerate(direct)]).first()
         result.update({c: list(row[f"p{i}"]) for i, c in enumerate(direct)})
-    large = [c for c in columns if counts[c] and c not in direct]
-    if large:
-        searches: dict[tuple[str, int], _Search] = {}
-        for c in large:
-            for p in shares:
+
+    searches, brackets = [], []
+    for i, c in enumerate(columns):
+        if counts[c] and c not in direct:
+            for j, p in enumerate(shares):
                 position = p * (counts[c] - 1)
-                for rank in {math.floor(position), math.ceil(position)}:
-                    searches[c, rank] = _Search(c, rank, inside=counts[c])
-        todo = list(searches.values())
-        while open_ := [s for s in todo if not s.settled and s.inside > limit]:
-            _bounds(open_, df)
-        values = dict(zip(searches, _read_off(todo, df)))
-        for c in large:
+                searches.append(_Search(c, math.floor(position), math.ceil(position), counts[c]))
+                brackets.append(first[f"s{i}"][2 * j:2 * j + 2])
+    if not searches:
+        return result
+    _narrow_all(df, searches, brackets)
+    while todo := [s for s in searches if not s.settled and s.rows > bracket_limit]:
+        row = df.agg(*[_sketch(s.inside(), s.bracket()).alias(f"s{i}")
+                       for i, s in enumerate(todo)]).first()
+        _narrow_all(df, todo, [row[f"s{i}"] for i in range(len(todo))])
+    values = iter(_read_off(df, searches))
+    for c in columns:
+        if counts[c] and c not in direct:
             result[c] = []
             for p in shares:
+                low, high = next(values)
                 position = p * (counts[c] - 1)
-                low, high = values[c, math.floor(position)], values[c, math.ceil(position)]
                 result[c].append(low + (high - low) * (position - math.floor(position)))
     return result
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str],
-                  limit: int = DIRECT_LIMIT) -> dict[str, float | None]:
-    return {c: v[0] for c, v in exact_percentiles(df, columns, [0.5], limit).items()}
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    return {c: v[0] for c, v in exact_percentiles(df, columns, [0.5]).items()}

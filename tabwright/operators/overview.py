@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +13,6 @@ from tabwright.functions.columns import is_numeric, name
 from tabwright.operators.order_stats import exact_percentiles
 from tabwright.operators.split import sample_rows
 
-# Pairs of columns whose correlations go into one wide aggregate; more pairs are laid out as rows.
-WIDE_PAIRS = 120
-
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width bins between minimum and maximum; empty bins are left out."""
@@ -86,38 +84,59 @@ def _rounded(value: Column, digits: int) -> Column:
     return F.round(value, digits) + F.lit(0.0)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
-                       digits: int = 2) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, from the rows where both are present.
+def pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per ordered column pair, over rows where both are present: count and centred sums.
 
-    Few columns: one aggregate. Many columns: each row lays out its pairs, which collapse to one
-    accumulator per pair inside the task, so the plan stays small and the shuffle tiny.
+    Each task folds its batches into a few matrices whose size depends on the columns only, so
+    rows never leave their task and missing values are handled pair by pair. Values are centred
+    by the column mean first, which keeps the sums accurate.
     """
+    present = [F.when(~F.isnan(name(c).cast("double")), name(c).cast("double"))
+               for c in columns]
+    means = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(present)]).first()
+    centred = df.select(*[(v - F.lit(m or 0.0)).alias(f"x{i}")
+                          for i, (v, m) in enumerate(zip(present, means))])
+    size = len(columns)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((4, size, size))
+        for batch in batches:
+            values = batch.to_numpy(dtype=float)
+            present = (~np.isnan(values)).astype(float)
+            values = np.nan_to_num(values)
+            sums += np.stack([present.T @ present, values.T @ present,
+                              (values ** 2).T @ present, values.T @ values])
+        i, j = np.indices((size, size))
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "n": sums[0].ravel(),
+                            "sx": sums[1].ravel(), "sxx": sums[2].ravel(),
+                            "sy": sums[1].T.ravel(), "syy": sums[2].T.ravel(),
+                            "sxy": sums[3].ravel()})
+
+    parts = centred.mapInPandas(fold, "i int, j int, n double, sx double, sxx double, sy double, "
+                                      "syy double, sxy double")
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in
+                                         ("n", "sx", "sxx", "sy", "syy", "sxy")])
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
+                       digits: int = 2) -> DataFrame:
+    """Pearson correlation of every pair of numeric columns, from the rows where both are present;
+    NULL where one of them does not vary."""
     columns = numeric_columns(df) if columns is None else list(columns)
     if len(columns) < 2:
         raise ValueError("a correlation matrix needs at least two numeric columns")
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    value = [name(c).cast("double") for c in columns]
-    if len(pairs) <= WIDE_PAIRS:
-        row = df.agg(*[F.corr(value[i], value[j]).alias(f"r{n}")
-                       for n, (i, j) in enumerate(pairs)])
-        found = row.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{n}").alias("r"))
-            for n, (i, j) in enumerate(pairs)])))
-    else:
-        last = F.lit(len(columns) - 1)
-        laid_out = (df.select(F.array(*value).alias("v"))
-                    .select("v", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-                    .select("v", "i", F.explode(F.sequence(F.col("i"), last)).alias("j")))
-        found = laid_out.groupBy("i", "j").agg(
-            F.corr(F.get("v", F.col("i")), F.get("v", F.col("j"))).alias("r"))
-    mirrored = F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))))
+    sums = pair_sums(df, columns)
+    n = F.col("n")
+    spread_x = F.col("sxx") - F.col("sx") ** 2 / n
+    spread_y = F.col("syy") - F.col("sy") ** 2 / n
+    together = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    value = F.when((n > 1) & (spread_x > 0) & (spread_y > 0),
+                   F.least(F.lit(1.0), F.greatest(F.lit(-1.0), together
+                                                  / (F.sqrt(spread_x) * F.sqrt(spread_y)))))
     labels = F.array(*[F.lit(c) for c in columns])
-    return (found.select(mirrored.alias("p"), "r")
-            .select(F.get(labels, F.col("p.i")).alias("column_a"),
-                    F.get(labels, F.col("p.j")).alias("column_b"),
-                    _rounded(F.col("r"), digits).alias("correlation")))
+    return sums.select(F.get(labels, F.col("i")).alias("column_a"),
+                       F.get(labels, F.col("j")).alias("column_b"),
+                       _rounded(value, digits).alias("correlation"))
 
 
 def scatter_points(df: DataFrame, x: str, y: str, color: str = "cluster", n: int | None = None,
