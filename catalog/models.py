@@ -10,7 +10,7 @@ from catalog.features import split_sql
 from catalog.tables import LINE_KEYS, table
 from tabwright.config import RunConfig
 from tabwright.functions.columns import row_key
-from tabwright.functions.scratch import materialise
+from tabwright.functions.scratch import materialise, ordered_by_key
 from tabwright.operators import datetimes, evaluate, explain, features, forest, knn, split, treeshap
 from tabwright.operators.target import CLASSIFICATION, REGRESSION, LabelEncoding
 from tabwright.plans.analysis import run_table
@@ -39,7 +39,7 @@ def fitted_lines(spark: SparkSession, sf_dir: str, task_type: str):
     vectors = materialise(model.transform(flagged).select("row_id", "is_test", "label",
                                                           "features"), "vectors")
     train, test = vectors.where(~F.col("is_test")), vectors.where("is_test")
-    fitted = forest.fit_forest(train, task_type, TREES, DEPTH)
+    fitted = forest.fit_forest(ordered_by_key(train, ["row_id"]), task_type, TREES, DEPTH)
     return fitted, model, train, test, encoding
 
 

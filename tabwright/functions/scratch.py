@@ -5,8 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tabwright.functions.columns import name
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a fresh local one only where it is unset."""
@@ -30,3 +34,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def ordered_by_key(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Rows hashed by key over all task slots and sorted within each partition.
+
+    Fits that depend on the row order then give the same result however the input was
+    partitioned, and a small input still uses every core.
+    """
+    spark = df.sparkSession
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                spark.sparkContext.defaultParallelism)
+    keys = [name(c) for c in key_cols]
+    return df.repartition(slots, *keys).sortWithinPartitions(*keys)
