@@ -32,8 +32,9 @@ def fitted_lines(spark: SparkSession, sf_dir: str, task_type: str):
     target = "kind" if task_type == CLASSIFICATION else "l_extendedprice"
     lines = classified_lines(spark, sf_dir)
     encoding = LabelEncoding.fit(lines, target)
-    flagged = split.stratified_split(
-        encoding.transform(lines), "label" if task_type == CLASSIFICATION else None, ["row_id"])
+    flagged = materialise(split.stratified_split(
+        encoding.transform(lines), "label" if task_type == CLASSIFICATION else None, ["row_id"]),
+        "lines")
     model = features.fit_features(flagged.where(~F.col("is_test")), target,
                                   ["row_id", "label", "is_test"])
     vectors = materialise(model.transform(flagged).select("row_id", "is_test", "label",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,21 +42,45 @@ def json_scalar(column: Column) -> Column:
     trimmed = strip(column)
     quoted = F.replace(column, F.lit("'"), F.lit('"'))
     repaired = F.regexp_replace(quoted, r",\}\z", "}")
-    parsed = F.from_json(repaired, "map<string,string>")
-    keys = F.map_keys(parsed)
-    wanted = F.when(F.array_contains(keys, "name"), F.lit("name")).otherwise(F.get(keys, F.lit(0)))
-    last = F.element_at(F.filter(F.map_entries(parsed), lambda e: e["key"] == wanted), -1)["value"]
-    scalar = F.when(parsed.isNull() | (F.size(parsed) == 0), trimmed).otherwise(last)
+    entries = F.map_entries(F.from_json(repaired, "map<string,string>"))
+
+    def pick(e: Column) -> Column:
+        """Scalar of the parsed entries; the last entry of a repeated key wins."""
+        key = F.when(F.exists(e, lambda x: x["key"] == "name"), F.lit("name")) \
+            .otherwise(F.get(e, F.lit(0))["key"])
+        last = F.element_at(F.filter(e, lambda x: x["key"] == key), -1)["value"]
+        return F.when(e.isNull() | (F.size(e) == 0), trimmed).otherwise(last)
+
+    # The one-element array binds the parsed entries, so that a text is parsed once.
+    scalar = F.get(F.transform(F.array(entries), pick), F.lit(0))
     wrapped = trimmed.startswith("{") & trimmed.endswith("}")
     return F.when(wrapped, scalar).otherwise(column)
 
 
+def date_shape(date_format: str) -> str:
+    """Pattern of the required first part of a date format, to refuse other text cheaply."""
+    parts = {"y": r"\d", "M": r"\d", "d": r"\d", "H": r"\d", "m": r"\d", "s": r"\d"}
+    shape = ""
+    for run in re.finditer(r"'[^']*'|([A-Za-z])\1*|[^A-Za-z\[']", date_format.split("[")[0]):
+        text = run.group()
+        if text.startswith("'"):
+            shape += re.escape(text.strip("'"))
+        elif text[0] in parts:
+            letter = r"[A-Za-z]" if text.startswith("MMM") else parts[text[0]]
+            shape += letter + (f"{{{len(text)}}}" if len(text) > 1 else "{1,2}")
+        elif text.isalpha():
+            shape += ".*"
+        else:
+            shape += re.escape(text)
+    return "^" + shape
+
+
 def parse_datetime(column: Column, formats: Sequence[str]) -> Column:
     """Timestamp of a text value under the first matching format, else NULL.
 
-    Text without a digit or of a length no format can have is refused before any parsing.
+    Text whose length or shape no format can have is refused before any parsing.
     """
     trimmed = strip(column)
-    plausible = F.length(trimmed).between(8, 40) & trimmed.rlike(r"\d.*\D.*\d")
-    tried = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
-    return F.when(plausible, tried)
+    tried = F.coalesce(*[F.when(trimmed.rlike(date_shape(f)), F.try_to_timestamp(trimmed, F.lit(f)))
+                         for f in formats])
+    return F.when(F.length(trimmed).between(8, 40), tried)

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.columns import hash_order, missing, name, row_key
+from tabwright.functions.columns import hash_order, name, row_key
+from tabwright.functions.scratch import materialise
 
 # Tables of at most this many rows (a class and a hash each) are small enough to broadcast.
 BROADCAST_ROWS = 100_000
@@ -84,8 +85,8 @@ def fit_split(df: DataFrame, label: str | None, key_cols: Sequence[str],
     hashed = df.select(_stratum(None if stratify is False else label).alias("stratum"),
                        hash_order(row_key(key_cols), seed).alias("h"))
     prefix = F.substring("h", 1, PREFIX_DIGITS)
-    histogram = (hashed.groupBy("stratum", prefix.alias("prefix"))
-                 .agg(F.count(F.lit(1)).alias("m"))).persist()
+    histogram = materialise(hashed.groupBy("stratum", prefix.alias("prefix"))
+                            .agg(F.count(F.lit(1)).alias("m")), "split-histogram")
     counts = histogram.groupBy("stratum").agg(F.sum("m").alias("n"))
     stratified = label is not None and stratify is not False
     if stratified and not (stratify or can_stratify(counts)):
@@ -100,9 +101,9 @@ def fit_split(df: DataFrame, label: str | None, key_cols: Sequence[str],
              .where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("m") < F.col("quota")))
              .select("stratum", "prefix",
                      (F.col("quota") - F.col("upto") + F.col("m")).alias("needed")))
-    # One edge row per class. The plan is cut here by a small cached table so that the row scan
-    # below can broadcast it when, and only when, its size has been checked.
-    edges = edges.persist()
+    # One edge row per class, written so that the row scan below can broadcast it when, and only
+    # when, its size has been checked.
+    edges = materialise(edges, "split-edges")
     small = edges.count() <= BROADCAST_ROWS
     edge_side = F.broadcast(edges) if small else edges
     ranked = (hashed.withColumn("prefix", prefix).join(edge_side, ["stratum", "prefix"])
@@ -110,7 +111,8 @@ def fit_split(df: DataFrame, label: str | None, key_cols: Sequence[str],
                   Window.partitionBy("stratum", "prefix").orderBy("h"))))
     cuts = (ranked.where(F.col("place") <= F.col("needed"))
             .groupBy("stratum").agg(F.max("h").alias("_cut")))
-    return SplitCuts(cuts, small, label, list(key_cols), seed, stratified)
+    # Written once: every later use of the cuts reads one row per class instead of the rows.
+    return SplitCuts(materialise(cuts, "split-cuts"), small, label, list(key_cols), seed, stratified)
 
 
 def stratified_split(df: DataFrame, label: str | None, key_cols: Sequence[str],
@@ -129,7 +131,7 @@ def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def add_class_weights(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    weights = balanced_class_weights(df, label).drop("class_count").persist()
+    weights = materialise(balanced_class_weights(df, label).drop("class_count"), "weights")
     side = F.broadcast(weights) if weights.count() <= BROADCAST_ROWS else weights
     return (df.join(side.select(F.col("class_value").alias(label), F.col("weight").alias(output)),
                     label))
