@@ -10,7 +10,7 @@ from tabwright.functions.columns import nan_to_null
 from tabwright.functions.scratch import scratch_path
 from tabwright.sources.files import (infer_types, normalise_null_tokens, read_csv, read_delimited,
                                      read_json, read_parquet)
-from tabwright.sources.load import file_source, load_clean, preview, reload
+from tabwright.sources.loading import file_source, load_clean, preview, reload
 from tabwright.sources.sinks import write_table
 
 

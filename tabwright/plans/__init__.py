@@ -1,6 +1,8 @@
 """Whole runs composed of the operators."""
 
 from tabwright.plans.analysis import RunResult, refresh, run
-from tabwright.plans.processing import ProcessingModel, fit_processing, process
+from tabwright.plans.processing import (ProcessingModel, distinct_rows, fit_processing,
+                                        process)
 
-__all__ = ["ProcessingModel", "RunResult", "fit_processing", "process", "refresh", "run"]
+__all__ = ["ProcessingModel", "RunResult", "distinct_rows", "fit_processing", "process",
+           "refresh", "run"]

@@ -1,5 +1,5 @@
 """Readers and writers."""
 
-from tabwright.sources.load import load, load_clean, preview, reload, require_non_empty
+from tabwright.sources.loading import load, load_clean, preview, reload, require_non_empty
 
 __all__ = ["load", "load_clean", "preview", "reload", "require_non_empty"]
