@@ -117,6 +117,19 @@ def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in CLUSTER_COLUMNS])
 
 
+def kmeans_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line: is its cluster the one with the nearest centre?"""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, *CLUSTER_COLUMNS)
+    clustered, model = cluster.kmeans_assign(lines, CLUSTER_COLUMNS, LINE_KEYS, restarts=1,
+                                             max_iter=10)
+    scaled = [model.scaling.expression(c) for c in CLUSTER_COLUMNS]
+    distances = F.array(*[sum((z - F.lit(float(v))) ** 2 for z, v in zip(scaled, centre))
+                          for centre in model.model.clusterCenters()])
+    own = F.get(distances, F.col("cluster"))
+    return clustered.select(*LINE_KEYS, (own <= F.array_min(distances) + 1e-9)
+                            .alias("is_nearest"))
+
+
 QUERIES = {
     "feature_impute_median": impute_median,
     "feature_impute_constant": impute_constant,
@@ -127,6 +140,7 @@ QUERIES = {
     "cluster_profile": profile_by_brand,
     "cluster_profile_rounded": profile_rounded,
     "cluster_kmeans": kmeans_clusters,
+    "cluster_nearest_centre": kmeans_nearest,
     "split_stratified_orders": split_orders,
     "split_stratified_lineitem": split_lineitem,
     "split_plain_events": split_plain,
@@ -183,6 +197,7 @@ SQL = {
         {_scaled('o_totalprice', 'orders')} AS o_totalprice, {', '.join(
         f'''(o_orderstatus = '{s}')::INTEGER::DOUBLE AS "o_orderstatus_{s}"'''
         for s in STATUSES)} FROM orders""",
+    "cluster_nearest_centre": f"SELECT {_LINE_KEYS_SQL}, true AS is_nearest FROM lineitem",
     "cluster_choose_k": "\nUNION ALL ".join(f"""SELECT '{t}' AS table_name, n,
         (CASE WHEN n < 2 * least(greatest(2, n // 10), 10) THEN greatest(2, n // 2)
               ELSE least(greatest(2, n // 10), 10) END)::INTEGER AS k

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.features import split_sql
-from catalog.tables import LINE_KEYS, table
+from catalog.tables import LINE_KEY_SQL, LINE_KEYS, table
 from tabwright.config import RunConfig
 from tabwright.functions.columns import row_key
 from tabwright.functions.scratch import materialise, ordered_by_key
@@ -75,6 +75,25 @@ def shap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 model.feature_names)
 
 
+def shap_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per sampled row and class: do the values and the base add up to the forest's output?"""
+    fitted, model, train, test, _ = fitted_lines(spark, sf_dir, CLASSIFICATION)
+    rows = materialise(split.sample_rows(test, 500, ["row_id"]), "shap-rows")
+    phi = treeshap.shap_values(fitted, rows, split.sample_rows(train, 100, ["row_id"]), "row_id",
+                               model.feature_names)
+    total = phi.groupBy("row_id", "class").agg(
+        (F.sum("phi") + F.max("base_value")).alias("total"))
+    output = fitted.transform(rows).select("row_id", F.posexplode(vector_to_array("probability"))
+                                           .alias("class", "output"))
+    return total.join(output, ["row_id", "class"]).select(
+        "row_id", "class", (F.abs(F.col("total") - F.col("output")) < 1e-9).alias("adds_up"))
+
+
+def forest_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows per actual class, as the forest's confusion matrix counts them."""
+    return (forest_classifier(spark, sf_dir).groupBy("actual").agg(F.sum("n").alias("n")))
+
+
 def pdp_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, model, _, test, _ = fitted_lines(spark, sf_dir, CLASSIFICATION)
     slots = explain.select_pdp_features(
@@ -196,6 +215,8 @@ QUERIES = {
     "forest_importance": importance_table,
     "forest_first_tree": first_tree,
     "forest_shap_values": shap_table,
+    "forest_shap_additive": shap_additive,
+    "forest_support": forest_support,
     "forest_partial_dependence": pdp_table,
     "knn_classify_customer": knn_customer,
     "knn_neighbours_customer": knn_customer_neighbours,
@@ -237,9 +258,18 @@ _ORDERS = split_sql(
     "o_orderkey, o_custkey, y, m, d", "o_orderkey", "0", "label")
 _ORDERS_KNN = _neighbours_sql(_ORDERS, "o_orderkey", " + ".join(
     f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in ("o_custkey", "y", "m", "d")))
+_KINDS = split_sql(
+    f"""(SELECT {LINE_KEY_SQL} AS row_id, CASE WHEN l_quantity > 30 AND l_discount > 0.04
+        THEN 'big' WHEN l_tax > 0.05 THEN 'taxed' ELSE 'plain' END AS kind FROM lineitem)""",
+    "row_id", "row_id", "kind", "kind")
 _VECTORS = split_sql("embeddings", "vec_id, embedding", "vec_id", "label", "label")
 
 SQL = {
+    "forest_shap_additive": f"""SELECT row_id, class::INTEGER AS class, true AS adds_up
+        FROM (SELECT row_id FROM ({_KINDS}) WHERE is_test ORDER BY md5('42:' || row_id) LIMIT 500),
+            (VALUES (0), (1), (2)) AS c(class)""",
+    "forest_support": f"""SELECT kind AS actual, count(*)::BIGINT AS n FROM ({_KINDS})
+        WHERE is_test GROUP BY kind""",
     "knn_classify_customer": _vote_sql(_CUSTOMER_KNN, "c_custkey"),
     "knn_neighbours_customer": f"""SELECT qkey, tkey, round(distance2, 6) AS distance2,
         place::INTEGER AS place FROM {_CUSTOMER_KNN}""",
