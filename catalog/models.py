@@ -47,8 +47,7 @@ def fitted_lines(spark: SparkSession, sf_dir: str, task_type: str):
 def forest_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted, _, _, test, encoding = fitted_lines(spark, sf_dir, CLASSIFICATION)
     scored = forest.predict(fitted, test)
-    texts = scored.select(encoding.decode(F.col("label")).alias("actual_class"),
-                          encoding.decode(F.col("prediction")).alias("predicted_class"))
+    texts = encoding.decode(scored, {"label": "actual_class", "prediction": "predicted_class"})
     return evaluate.confusion_matrix(texts, "actual_class", "predicted_class")
 
 

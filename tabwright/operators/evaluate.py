@@ -157,4 +157,4 @@ def predictions_table(rf: DataFrame, knn: DataFrame, key: str, encoding: LabelEn
     if encoding.classes is None:
         return both
     coded = both.withColumns({c: F.col(c).cast("int") for c in columns})
-    return coded.withColumns({f"{c}_Original": encoding.decode(F.col(c)) for c in columns})
+    return encoding.decode(coded, {c: f"{c}_Original" for c in columns})

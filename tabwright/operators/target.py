@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +13,9 @@ from tabwright.config import COMMON_TARGET_NAMES, ID_NAME_PARTS
 from tabwright.functions.columns import is_text, name
 from tabwright.operators.profile import profile_columns
 
+# The class list is held by the driver and by every tree node.
+CLASS_LIMIT = 100_000
+
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
 
@@ -130,6 +133,10 @@ class LabelEncoding:
     def fit(cls, df: DataFrame, target: str) -> "LabelEncoding":
         if not needs_encoding(df, target):
             return cls(target, None)
+        about = df.agg(F.approx_count_distinct(name(target)).alias("n")).first().n
+        if about > CLASS_LIMIT:
+            raise ValueError(f"target {target} has about {about} classes, more than {CLASS_LIMIT}; "
+                             "a forest cannot be fitted on it, choose another target")
         model = StringIndexer(inputCol=target, outputCol="label", handleInvalid="error",
                               stringOrderType="alphabetAsc").fit(df.select(name(target)))
         return cls(target, list(model.labelsArray[0]))
@@ -142,11 +149,13 @@ class LabelEncoding:
                                                outputCol=output, handleInvalid="error")
         return model.transform(df)
 
-    def decode(self, code: Column) -> Column:
-        """Class text of a code; NULL for a code without a class."""
-        if self.classes is None:
-            return code
-        return F.get(F.array(*[F.lit(c) for c in self.classes]), code.cast("int"))
+    def decode(self, df: DataFrame, columns: dict[str, str]) -> DataFrame:
+        """Adds, per coded column, a column with the class text of its code."""
+        for code, text in columns.items():
+            coded = df.withColumn("_code", name(code).cast("double"))
+            df = IndexToString(inputCol="_code", outputCol=text,
+                               labels=self.classes).transform(coded).drop("_code")
+        return df
 
 
 def label_encode(df: DataFrame, target: str) -> tuple[DataFrame, LabelEncoding]:
@@ -161,4 +170,4 @@ def label_decode(df: DataFrame, encoding: LabelEncoding, columns: list[str]) ->
     """Adds ``<column>_Original`` with the class text of each coded column."""
     if encoding.classes is None:
         return df
-    return df.withColumns({f"{c}_Original": encoding.decode(name(c)) for c in columns})
+    return encoding.decode(df, {c: f"{c}_Original" for c in columns})
