@@ -10,10 +10,13 @@ from catalog.features import split_sql
 from catalog.tables import LINE_KEY_SQL, LINE_KEYS, table
 from tabwright.config import RunConfig
 from tabwright.functions.columns import row_key
-from tabwright.functions.scratch import materialise, ordered_by_key
-from tabwright.operators import datetimes, evaluate, explain, features, forest, knn, split, treeshap
-from tabwright.operators.target import CLASSIFICATION, REGRESSION, LabelEncoding
+from tabwright.functions.scratch import materialise, ordered_by_key, scratch_path
+from tabwright.operators import (cluster, datetimes, evaluate, explain, features, forest, knn,
+                                 split, treeshap)
+from tabwright.operators.target import CLASSIFICATION, REGRESSION, LabelEncoding, label_encode
 from tabwright.plans.analysis import run_table
+from tabwright.sources.files import read_csv
+from tabwright.sources.sinks import write_cluster_profiles, write_metrics, write_predictions
 
 TREES, DEPTH = 20, 6
 
@@ -101,6 +104,44 @@ def pdp_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       model.feature_names)
 
 
+def predictions_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual priority and two rule-made predictions, joined by key and decoded."""
+    orders = table(spark, sf_dir, "orders")
+    coded, encoding = label_encode(orders, "o_orderpriority")
+    by_price = coded.select("o_orderkey", "label", F.expr(
+        "CASE WHEN o_totalprice > 250000 THEN 4D ELSE 1D END").alias("prediction"))
+    by_status = coded.select("o_orderkey", F.expr(
+        "CASE o_orderstatus WHEN 'F' THEN 0D WHEN 'O' THEN 2D ELSE 3D END").alias("prediction"))
+    return evaluate.predictions_table(by_price, by_status, "o_orderkey", encoding)
+
+
+def written_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_csv(spark, write_predictions(predictions_of_orders(spark, sf_dir),
+                                             scratch_path(spark, "out")))
+
+
+def written_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary and class report as written and read back, side by side."""
+    rows = predictions_of_orders(spark, sf_dir)
+    summary = evaluate.metrics_summary(rows, "Actual", "Predicted_RF", "Predicted_KNN",
+                                       CLASSIFICATION)
+    report = evaluate.classification_report(rows, "Actual_Original", "Predicted_RF_Original")
+    paths = write_metrics(summary, report, scratch_path(spark, "out"))
+    first, second = (read_csv(spark, p) for p in paths)
+    shares = first.selectExpr("inline(array(struct('rf' AS name, rf_accuracy AS value), "
+                              "struct('knn' AS name, knn_accuracy AS value)))")
+    classes = second.selectExpr("class_name AS name", "recall AS value")
+    return shares.unionByName(classes).select("name", F.round("value", 9).alias("value"))
+
+
+def written_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profiles = cluster.cluster_profile(table(spark, sf_dir, "part"), ["p_size", "p_retailprice"],
+                                       "p_type")
+    back = read_csv(spark, write_cluster_profiles(profiles, scratch_path(spark, "out")))
+    return back.select("p_type", F.round("p_size", 6).alias("p_size"),
+                       F.round("p_retailprice", 6).alias("p_retailprice"))
+
+
 def _customer_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", F.array("c_nationkey", "c_acctbal").alias("features"), F.expr(
@@ -209,6 +250,10 @@ def report_orders_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "predictions_table": predictions_of_orders,
+    "sink_predictions": written_predictions,
+    "sink_metrics": written_metrics,
+    "sink_cluster_profiles": written_profiles,
     "forest_classifier": forest_classifier,
     "forest_regressor": forest_regressor,
     "forest_importance": importance_table,
@@ -263,7 +308,37 @@ _KINDS = split_sql(
     "row_id", "row_id", "kind", "kind")
 _VECTORS = split_sql("embeddings", "vec_id, embedding", "vec_id", "label", "label")
 
+_PRIORITIES = "(SELECT DISTINCT o_orderpriority AS p FROM orders)"
+_RULES = f"""(SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 4 ELSE 1 END AS rf,
+        CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 2 ELSE 3 END AS knn, o_orderpriority
+        FROM orders)"""
+_PREDICTIONS = f"""WITH codes AS (SELECT p, row_number() OVER (ORDER BY p) - 1 AS c
+        FROM {_PRIORITIES})
+    SELECT o_orderkey, a.c::INTEGER AS "Actual", rf::INTEGER AS "Predicted_RF",
+        knn::INTEGER AS "Predicted_KNN", o_orderpriority AS "Actual_Original",
+        r.p AS "Predicted_RF_Original", k.p AS "Predicted_KNN_Original"
+    FROM {_RULES} JOIN codes a ON a.p = o_orderpriority JOIN codes r ON r.c = rf
+        JOIN codes k ON k.c = knn"""
+
 SQL = {
+    "predictions_table": _PREDICTIONS,
+    "sink_predictions": f"""SELECT o_orderkey::BIGINT AS o_orderkey, "Actual"::BIGINT AS "Actual",
+        "Predicted_RF"::BIGINT AS "Predicted_RF", "Predicted_KNN"::BIGINT AS "Predicted_KNN",
+        "Actual_Original", "Predicted_RF_Original", "Predicted_KNN_Original"
+        FROM ({_PREDICTIONS})""",
+    "sink_metrics": f"""WITH t AS ({_PREDICTIONS}), c AS (SELECT "Actual_Original" AS name,
+            avg(("Actual" = "Predicted_RF")::INTEGER::DOUBLE) AS value, count(*) AS n
+            FROM t GROUP BY 1)
+        SELECT 'rf' AS name, round(avg(("Actual" = "Predicted_RF")::INTEGER::DOUBLE), 9) AS value
+            FROM t
+        UNION ALL SELECT 'knn', round(avg(("Actual" = "Predicted_KNN")::INTEGER::DOUBLE), 9) FROM t
+        UNION ALL SELECT 'accuracy', round(avg(("Actual" = "Predicted_RF")::INTEGER::DOUBLE), 9)
+            FROM t
+        UNION ALL SELECT name, round(value, 9) FROM c
+        UNION ALL SELECT 'macro avg', round(avg(value), 9) FROM c
+        UNION ALL SELECT 'weighted avg', round(sum(value * n) / sum(n), 9) FROM c""",
+    "sink_cluster_profiles": """SELECT p_type, round(avg(p_size), 6) AS p_size,
+        round(avg(p_retailprice), 6) AS p_retailprice FROM part GROUP BY p_type""",
     "forest_shap_additive": f"""SELECT row_id, class::INTEGER AS class, true AS adds_up
         FROM (SELECT row_id FROM ({_KINDS}) WHERE is_test ORDER BY md5('42:' || row_id) LIMIT 500),
             (VALUES (0), (1), (2)) AS c(class)""",
