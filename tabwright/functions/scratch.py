@@ -13,11 +13,13 @@ from tabwright.functions.columns import name
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a fresh local one only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder; a fresh
+    local one only where neither is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) \
+        or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="tabwright-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
