@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tabwright.llm import id_store
 from tabwright.llm.common import table
 from tabwright.llm.packing import pack
+from tabwright.llm.pii import KINDS, find_personal_data, joined, plain_of
 from tabwright.llm.sharding import shard_documents
 from tabwright.llm.token_counts import token_counts
+from tabwright.llm.toxicity import THRESHOLD, held_out, learn, score
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +24,14 @@ def op2_token_counts(spark, sf_dir):
                         TOKEN_LIMIT)
 
 
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs, table(spark, sf_dir, "labels"))
+    return (score(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+
+
 def op5_id_store(spark, sf_dir):
     path = id_store.store_path(spark)
     id_store.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_BPE))
@@ -29,6 +39,19 @@ def op5_id_store(spark, sf_dir):
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = find_personal_data(docs)
+    plain = plain_of(F.col("found"))
+
+    def count(kind):
+        return F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return spans.select("doc_id", *map(count, KINDS),
+                        F.sha2(joined(plain), 256).alias("base_sha256"),
+                        joined(F.col("found")).alias("spans"))
+
+
 def op9_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS).withColumn(
         "grown_shard", F.lit(None).cast("int"))
@@ -39,5 +62,6 @@ def op10_packing(spark, sf_dir):
         "ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op5_id_store, op9_sharding, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op2_token_counts, op4_toxicity, op5_id_store, op7_pii, op9_sharding, op10_packing)}
 SQL: dict[str, str] = {}

@@ -13,8 +13,8 @@ ROUNDS = 6
 #: Rows that are exchanged among themselves; a table has one exchange class for so many rows.
 CLASS_ROWS = 200_000
 #: Groups with more rows are handled in SUBS parts wherever their rows meet.
-HOT_ROWS = 10_000
-SUBS = 256
+HOT_ROWS = 1_000
+SUBS = 64
 
 
 def sub_of(size: Column, row: Column) -> Column:
