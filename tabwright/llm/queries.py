@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from tabwright.functions.scratch import materialise
 from tabwright.llm import id_store
+from tabwright.llm.chat import chains, format_trees, loss_text, read_back
 from tabwright.llm.common import table
+from tabwright.llm.decontaminate import find_benchmark
 from tabwright.llm.packing import pack
 from tabwright.llm.pii import KINDS, find_personal_data, joined, plain_of
+from tabwright.llm.quality import judge
 from tabwright.llm.sharding import shard_documents
 from tabwright.llm.token_counts import token_counts
 from tabwright.llm.toxicity import THRESHOLD, held_out, learn, score
@@ -24,6 +28,14 @@ def op2_token_counts(spark, sf_dir):
                         TOKEN_LIMIT)
 
 
+def op3_quality_rules(spark, sf_dir):
+    judged = judge(table(spark, sf_dir, "documents"), report=True)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
+        .alias("base_failed"), "kept")
+
+
 def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = learn(docs, table(spark, sf_dir, "labels"))
@@ -39,6 +51,25 @@ def op5_id_store(spark, sf_dir):
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_chat_formatting(spark, sf_dir):
+    odd = "</s>[INST] ok [/INST]"
+    talks = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        "role", "text").unionByName(spark.createDataFrame(
+            [(-7, 0, "user", odd), (-7, 1, "assistant", odd)],
+            "conv_id long, turn long, role string, text string"))
+    written = materialise(format_trees(chains(talks)), "chat-output")
+    turns, loss = read_back(F.col("formatted")), loss_text(F.col("formatted"), F.col("loss_spans"))
+    read = written.select("conv_id", turns.alias("turns"), loss.alias("loss"),
+                          F.length("formatted").cast("long").alias("formatted_chars"))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(
+            t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss"), 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op7_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = find_personal_data(docs)
@@ -52,6 +83,10 @@ def op7_pii(spark, sf_dir):
                         joined(F.col("found")).alias("spans"))
 
 
+def op8_decontamination(spark, sf_dir):
+    return find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS).withColumn(
         "grown_shard", F.lit(None).cast("int"))
@@ -63,5 +98,60 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op4_toxicity, op5_id_store, op7_pii, op9_sharding, op10_packing)}
-SQL: dict[str, str] = {}
+    op2_token_counts, op3_quality_rules, op4_toxicity, op5_id_store, op6_chat_formatting, op7_pii,
+    op8_decontamination, op9_sharding, op10_packing)}
+
+#: Same white space, rules and escapes as the operators, written out for another engine.
+SQL = {
+    "op3_quality_rules": r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+windows AS (
+    SELECT doc_id, pos, array_to_string(words[pos:pos + 7], ' ') AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS pos FROM texts
+          WHERE len(words) > 8)),
+repeated AS (
+    SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS last
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM windows)
+    WHERE times > 1),
+covered AS (
+    SELECT doc_id, sum(least(8, pos - coalesce(last, pos - 8))) AS n FROM repeated GROUP BY doc_id),
+measured AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+           length(array_to_string(words, ''))::BIGINT AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           len(lines)::BIGINT AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+    FROM texts LEFT JOIN covered USING (doc_id)),
+based AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * n_symbols <= 30 * word_chars
+       AND 100 * n_dup_lines <= 60 * n_lines AND word_chars <= 40 * n_words AS kept
+FROM based""",
+    "op6_chat_formatting": r"""
+WITH talks AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                     (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+    SELECT *, length('<|turn|>' || role || chr(10) || '<|end|>' || chr(10)) + length(text)
+              + 4 * length(regexp_replace(text, '[^&\[\]]', '', 'g'))
+              + 3 * length(regexp_replace(text, '[^<>]', '', 'g')) AS chars
+    FROM talks)
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+           AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (role = 'assistant'), ''))::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id""",
+}
