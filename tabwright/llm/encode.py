@@ -28,7 +28,7 @@ PLAIN_RANGES = ((0x20, 0x7E), (0xA1, 0x24F), (0x370, 0x3FF), (0x400, 0x52F), (0x
                 (0xAC00, 0xD7A3))
 
 #: Pieces kept in a worker's memory; beyond it new pieces are encoded without being kept.
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 600_000
 
 
 def char_class(kind: str) -> str:
@@ -52,8 +52,10 @@ PIECE = re.compile(
     f" ?[{LETTERS}]+| ?[{NUMBERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{WHITE}{LETTERS}{NUMBERS}]+"
     f"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 NOT_PLAIN = re.compile(f"[^{PLAIN}{WHITE}]")
-#: White space other than single blanks and single line ends that follow a word.
-UNEVEN_WHITE = re.compile("[ \n][ \n]|[\t\v\f\r]")
+#: Fixed value: how byte-level files write bytes as characters. Visible Latin-1 characters stand
+#: for themselves, the other bytes for the characters from 256 on.
+VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 
 
 class Memory(dict):
@@ -81,34 +83,29 @@ class PieceEncoder:
             spec = json.load(file)
         self.specials = tuple(t["content"] for t in spec["added_tokens"])
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces = Memory(self.whole)
-        self.words = Memory(lambda word: self.parts(word_text(word)))
+        pre, normalizer = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+        #: Whether the file cuts texts as PIECE does, into bytes written as characters.
+        self.by_piece = (normalizer is None and pre.get("type") == "ByteLevel"
+                         and pre.get("use_regex") and not pre.get("add_prefix_space"))
+        self.merge, self.pieces = self.library.model.tokenize, Memory(self.piece)
 
     def whole(self, text: str) -> bytes:
-        """Ids by the library itself."""
+        """Ids of a text by the library itself."""
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
-    def parts(self, text: str) -> bytes:
-        """Ids of a plain text, piece by piece."""
-        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
+    def piece(self, piece: str) -> bytes:
+        """Ids of one piece by the library's model, which takes bytes as characters."""
+        written = piece.encode().decode("latin-1").translate(BYTE_CHARS)
+        return np.array([t.id for t in self.merge(written)], self.dtype).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text (None: no ids)."""
         if not text:
             return b""
-        if NOT_PLAIN.search(text) or any(s in text for s in self.specials):
+        if not self.by_piece or NOT_PLAIN.search(text) or any(s in text for s in self.specials):
             return self.whole(text)
-        if UNEVEN_WHITE.search(text):
-            return self.parts(text)
-        # A blank or line end opens each word after the first; see word_text().
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return self.parts(first) + b"".join(map(self.words.__getitem__, rest))
-
-
-def word_text(word: str) -> str:
-    """The text that a word after the first stands for: its line end, else a blank before it."""
-    return word if word[:1] == "\n" else " " + word
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
