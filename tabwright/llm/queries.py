@@ -10,6 +10,7 @@ from tabwright.llm import id_store
 from tabwright.llm.chat import chains, format_trees, loss_text, read_back
 from tabwright.llm.common import table
 from tabwright.llm.decontaminate import find_benchmark
+from tabwright.llm.ngram_join import similar_groups
 from tabwright.llm.packing import pack
 from tabwright.llm.pii import KINDS, find_personal_data, joined, plain_of
 from tabwright.llm.quality import judge
@@ -23,6 +24,10 @@ TOKEN_LIMIT = 2048
 SHARDS = 24
 
 
+def op1_ngram_join(spark, sf_dir):
+    return similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE),
                         TOKEN_LIMIT)
@@ -98,7 +103,7 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op3_quality_rules, op4_toxicity, op5_id_store, op6_chat_formatting, op7_pii,
+    op1_ngram_join, op2_token_counts, op3_quality_rules, op4_toxicity, op5_id_store, op6_chat_formatting, op7_pii,
     op8_decontamination, op9_sharding, op10_packing)}
 
 #: Same white space, rules and escapes as the operators, written out for another engine.
