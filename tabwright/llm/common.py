@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one Arrow batch that are turned into Python objects at a time.
 SLICE_ROWS = 256
@@ -28,6 +29,20 @@ def crc32_of(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_field(df: DataFrame, name: str, kind: str | T.DataType) -> T.StructType:
+    """Schema of ``df`` and one more field."""
+    kind = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
+
+
 def part_count(df: DataFrame, least: int = 1) -> int:
     """Partitions for a keyed exchange of ``df``: the session's shuffle partitions."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

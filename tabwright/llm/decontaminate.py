@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import slices
+from tabwright.llm.common import free_name, slices, with_field
 from tabwright.llm.encode import Memory
 
 SHINGLE = 5
@@ -204,44 +204,56 @@ def source_span(text: str, first: int, end: int) -> tuple[int, int]:
     return kept[first][0], kept[min(end, len(kept)) - 1][1]
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Documents that hold benchmark items: one row a document and item.
+MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()),
+                            ("hamming", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+
 
-    Columns: ``doc_id``, ``item_id``, ``similarity``, ``hamming``, ``start`` and ``end`` (code points
-    of the best window). The benchmark is the stated query set; it is sent to all tasks in blocks
-    of ``ITEMS_AT_ONCE`` items, each compared with all documents.
+def mark_benchmark(docs: DataFrame, benchmark: DataFrame, name: str = "matches",
+                   similar: float = SIMILAR) -> DataFrame:
+    """Adds to every row of ``docs`` (any columns, among them ``text``) the column ``name``: the
+    benchmark items that its text holds, each with ``item_id``, ``similarity``, ``hamming``, and
+    ``start`` and ``end`` (code points) of the best window.
+
+    The benchmark (``item_id``, ``text``) is the stated query set; it is sent to all tasks in blocks
+    of about ``ITEMS_AT_ONCE`` items, each compared with all documents.
 
     Null and empty texts, on either side, match nothing; repeated documents or items match each on
-    their own; items of under five words are one shingle; without documents or items there are no
-    rows; other columns are ignored.
+    their own; items of under five words are one shingle; without items nothing matches; an empty
+    table gives no rows; a column called ``name`` is replaced.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    spark, rows = docs.sparkSession, docs.drop(name)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     passes = max(1, -(-items.count() // ITEMS_AT_ONCE))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    schema = ("doc_id long, item_id long, similarity double, hamming int, start int, end int")
-    found = None
+    kind = ("array<struct<item_id: long, similarity: double, hamming: int, start: int, end: int>>")
+    parts = []
     for k in range(passes):
-        asked = sorted((r for r in items.where(block == k).collect()),
-                       key=lambda r: (r.item_id is None, r.item_id, r.text or ""))
+        asked = sorted(items.where(block == k).collect(),
+                       key=lambda r: (r.item_id is not None, r.item_id, r.text or ""))
         sent = spark.sparkContext.broadcast(
             compile_benchmark([(r.item_id, r.text) for r in asked]))
 
         def scan(batches, sent=sent):
             for batch in slices(batches):
-                out = []
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(),
-                                        batch.column("text").to_pylist()):
-                    for item, like, apart, first, end in matches(sent.value, text, similar):
-                        out.append((doc_id, item, like, apart, *source_span(text, first, end)))
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), (
-                            pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(),
-                            pa.int32()))],
-                        names=["doc_id", "item_id", "similarity", "hamming", "start", "end"])
-
-        part = rows.mapInArrow(scan, schema)
-        found = part if found is None else found.unionByName(part)
-    return found
+                found = []
+                for text in batch.column("text").to_pylist():
+                    found.append([
+                        dict(zip(("item_id", "similarity", "hamming", "start", "end"),
+                                 (item, like, apart, *source_span(text, first, end))))
+                        for item, like, apart, first, end in matches(sent.value, text, similar)])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(found, MATCH)],
+                    names=[*batch.schema.names, part])
+
+        parts.append(part := free_name(rows, f"{name}_{k}"))
+        rows = rows.mapInArrow(scan, with_field(rows, part, kind))
+    return rows.select(*[c for c in docs.columns if c.lower() != name.lower()],
+                       F.concat(*parts).alias(name))
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Documents that hold benchmark items, one row a document and item: ``doc_id``, ``item_id``,
+    ``similarity``, ``hamming``, ``start`` and ``end`` (see :func:`mark_benchmark`)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = mark_benchmark(rows, benchmark, "matches", similar)
+    return marked.select("doc_id", F.inline("matches"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import slices
+from tabwright.llm.common import slices, with_field
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -287,33 +287,33 @@ def redacted(text: str, spans: list[tuple[str, int, int, bool]]) -> str:
     return "".join(out) + text[at:]
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, found: str = "found",
+                       clean: str = "redacted") -> DataFrame:
     """Adds to every row of ``docs`` (any columns, among them ``text``) the column ``found``: spans
     (``kind``, ``start``, ``end``, ``plain``) in code points of the whole text, end exclusive, by
-    kind and start, and ``redacted``, the text with them replaced.
+    kind and start, and the column ``clean``, the text with them replaced.
 
     Kinds are email, ip, card and phone. A null text has no spans and stays null; rows count each on
-    its own; columns named ``found`` or ``redacted`` are replaced; an empty table gives no rows.
+    its own; columns of these two names are replaced; an empty table gives no rows.
     """
-    rows = docs.drop("found", "redacted")
-    fields = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, "
-                     for f in rows.schema.fields)
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
+    rows = docs.drop(found, clean)
+    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
                                ("end", pa.int32()), ("plain", pa.bool_())]))
 
     def scan(batches):
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             spans = [all_spans(t) for t in texts]
-            found = [[dict(zip(("kind", "start", "end", "plain"), s)) for s in row]
-                     for row in spans]
-            clean = [t if not s else redacted(t, s) for t, s in zip(texts, spans)]
+            listed = [[dict(zip(("kind", "start", "end", "plain"), s)) for s in row]
+                      for row in spans]
+            shown = [t if not s else redacted(t, s) for t, s in zip(texts, spans)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, kind), pa.array(clean, pa.string())],
-                names=[*batch.schema.names, "found", "redacted"])
+                [*batch.columns, pa.array(listed, span), pa.array(shown, pa.string())],
+                names=[*batch.schema.names, found, clean])
 
-    return rows.mapInArrow(scan, fields + "found array<struct<kind: string, start: int, end: int, "
-                                          "plain: boolean>>, redacted string")
+    schema = with_field(
+        rows, found, "array<struct<kind: string, start: int, end: int, plain: boolean>>")
+    return rows.mapInArrow(scan, schema.add(clean, "string"))
 
 
 def joined(spans: Column) -> Column:

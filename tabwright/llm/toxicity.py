@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import slices
+from tabwright.llm.common import slices, with_field
 from tabwright.llm.encode import Memory
 
 #: Hash buckets of the features.
@@ -247,8 +247,6 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     own; a column of that name is replaced; an empty table gives no rows.
     """
     rows = docs.drop(column)
-    fields = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, "
-                     for f in rows.schema.fields)
     sent = rows.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS weights
 
     def score_part(batches):
@@ -257,4 +255,4 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)],
                                              names=[*batch.schema.names, column])
 
-    return rows.mapInArrow(score_part, f"{fields}`{column}` double")
+    return rows.mapInArrow(score_part, with_field(rows, column, "double"))
