@@ -40,8 +40,8 @@ class Learning:
     unlabelled: int = 24_000    #: unlabelled documents at most (chosen by hash)
     least_rows: int = 3         #: positives that a feature must occur in
     least_share: float = 0.02   #: and the share of all positives that these must be
-    lift: float = 3.0           #: its share among positives over that among unlabelled, at least
-    deviations: float = 4.0     #: and their difference in standard deviations
+    precise: float = 0.5        #: share of positives that its rows must have by the prior
+    deviations: float = 4.0     #: by which it must be more frequent among positives
     epochs: int = 60
     batch: int = 512
     rate: float = 0.05
@@ -91,9 +91,12 @@ class Rows:
         return self.cells[self.starts[chosen][owner] + inside], owner
 
 
-def raised_features(positives: list[np.ndarray], unlabelled: list[np.ndarray],
+def raised_features(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
                     how: Learning) -> np.ndarray:
-    """Features clearly more frequent among positives than among unlabelled rows, in order."""
+    """Features clearly more frequent among positives than among unlabelled rows, in order.
+
+    With shares p and u of rows that have a feature, prior * p / u of its rows are positive.
+    """
     seen, counts = np.unique(np.concatenate(positives), return_counts=True)
     common = counts >= max(how.least_rows, how.least_share * len(positives))
     seen, counts = seen[common], counts[common]
@@ -102,7 +105,7 @@ def raised_features(positives: list[np.ndarray], unlabelled: list[np.ndarray],
     there = np.where(others[at] == seen, other_counts[at], 0) if len(others) else 0 * counts
     p, u = counts / len(positives), (there + 0.5) / (len(unlabelled) + 1)
     spread = np.sqrt(u * (1 - u) * (1 / len(positives) + 1 / len(unlabelled)))
-    return seen[(p >= how.lift * u) & (p - u >= how.deviations * spread)]
+    return seen[(prior * p >= how.precise * u) & (p - u >= how.deviations * spread)]
 
 
 def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
@@ -112,7 +115,7 @@ def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     Features that are no more frequent among positives than among unlabelled rows tell nothing of
     the positive class and would only add noise to the sums of long texts; they are left out.
     """
-    kept = raised_features(positives, unlabelled, how)
+    kept = raised_features(positives, unlabelled, prior, how)
     dims = len(kept) + 1
 
     def dense(rows):
