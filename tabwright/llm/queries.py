@@ -108,6 +108,31 @@ QUERIES = {f.__name__: f for f in (
 
 #: Same white space, rules and escapes as the operators, written out for another engine.
 SQL = {
+    "op1_ngram_join": r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[pos:pos + 4], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos
+          FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY x, y),
+links AS (
+    SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * shared.n >= 80 * (a.n + b.n - shared.n)),
+reach AS (
+    SELECT doc_id, doc_id AS component_id FROM sizes
+    UNION
+    SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.component_id)
+SELECT texts.doc_id, coalesce(max(sizes.n), 0)::BIGINT AS n_shingles,
+       coalesce(min(reach.component_id), texts.doc_id) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN reach USING (doc_id)
+GROUP BY texts.doc_id""",
     "op3_quality_rules": r"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,

@@ -42,7 +42,7 @@ class Learning:
     least_share: float = 0.02   #: and the share of all positives that these must be
     precise: float = 0.5        #: share of positives that its rows must have by the prior
     deviations: float = 4.0     #: by which it must be more frequent among positives
-    epochs: int = 60
+    epochs: int = 30
     batch: int = 512
     rate: float = 0.05
     decay: float = 1e-4
@@ -169,10 +169,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def chosen_by_hash(rows: DataFrame, count: int, most: int) -> DataFrame:
-    """About ``most`` of ``count`` rows, the same ones in every run, without a sort."""
-    share = min(1.0, most / max(1, count))
-    edge = int(share * (1 << 32)) if share < 1 else 1 << 32
-    return rows.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 32)) < edge)
+    """About ``most`` of ``count`` rows, the same ones in every run; equal rows count once."""
+    edge = int(min(1.0, most / max(1, count)) * (1 << 32))
+    return rows.where(F.pmod(F.xxhash64(*rows.columns, F.lit(11)), F.lit(1 << 32)) <= edge).distinct()
 
 
 @dataclass(frozen=True)
@@ -218,10 +217,12 @@ def learn(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Mod
     if not confirmed:
         return Model(np.zeros(0, np.int32), np.zeros(0), -60.0)
     total = training.count()
-    sample = (chosen_by_hash(training.join(toxic, "doc_id", "left_semi"), confirmed, how.positives)
+    # At most about ``how.positives`` ids, whatever the number of labels.
+    picked = F.broadcast(chosen_by_hash(toxic, confirmed, how.positives))
+    sample = (training.join(picked, "doc_id", "left_semi").distinct()
               .select(F.lit(True).alias("positive"), "text").unionByName(
-              chosen_by_hash(training, total, how.unlabelled)
-              .join(toxic, "doc_id", "left_anti").select(F.lit(False).alias("positive"), "text")))
+              chosen_by_hash(training, total, how.unlabelled).join(toxic, "doc_id", "left_anti")
+              .select(F.lit(False).alias("positive"), "text")))
 
     def features(batches):
         for batch in slices(batches):
