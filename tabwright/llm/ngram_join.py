@@ -68,6 +68,12 @@ def bitmap(found: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def small_bitmap(found: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that fall on each of 256 bits, as four longs."""
+    at = ((found >> np.uint64(41)) & np.uint64(255)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=256) & 1).astype(np.uint8)).view("<i8")
+
+
 def may_link(a: bytes, size_a: int, b: bytes, size_b: int) -> bool:
     """False only if too few shingles can be shared: every bit in which the two parities differ
     stands for at least one shingle that is in one set only."""
@@ -148,7 +154,7 @@ def short_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
     def take(batches):
         kinds, counts = sent.value
         for batch in slices(batches):
-            sizes, names, maps, heads = [], [], [], []
+            sizes, names, maps, small, heads = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text)
                 n = len(found)
@@ -161,14 +167,16 @@ def short_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
                 heads.append(found[np.lexsort((found, rank))[:keep]].view(np.int64) if n else [])
                 sizes.append(n)
                 maps.append(bitmap(found) if n else None)
+                small.append(small_bitmap(found))
                 names.append(xxhash.xxh3_128_digest(found.tobytes()) if n else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()),
-                 pa.array(maps, pa.binary()), pa.array(heads, pa.list_(pa.int64()))],
-                names=["node", "size", "set_name", "bits", "heads"])
+                 pa.array(maps, pa.binary()), pa.array(small, pa.list_(pa.int64())),
+                 pa.array(heads, pa.list_(pa.int64()))],
+                names=["node", "size", "set_name", "bits", "small", "heads"])
 
-    return docs.mapInArrow(
-        take, "node long, size int, set_name binary, bits binary, heads array<long>")
+    return docs.mapInArrow(take, "node long, size int, set_name binary, bits binary, "
+                                 "small array<long>, heads array<long>")
 
 
 def listed(heads: DataFrame) -> DataFrame:
@@ -289,8 +297,9 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "node"))
 
 
-def other_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a list that are not yet in one group and can link by their sizes and places.
+def other_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of a list that are not yet in one group and can link by their sizes, places and small
+    bitmaps (which bound the overlap like the large ones).
 
     The larger set probes with all its short lists; of the smaller, which needs T >= 8 y / 9, the
     first y - T + 1 suffice.
@@ -298,15 +307,20 @@ def other_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
     rows = materialise(labelled(lists.drop("first"), labels), "ngram-lists")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("low"),
                                         F.max("component").alias("high")).where("low < high")
-    rows = materialise(rows.join(mixed.select("shingle"), "shingle", "left_semi")
-                       .select("shingle", "node", "size", "place", "component"), "ngram-mixed")
-    large = rows.toDF("shingle", "node_x", "x", "at_x", "component_x")
+    small = sets.select("node", *[F.col("small")[k].alias(f"s{k}") for k in range(4)])
+    rows = materialise(
+        rows.join(mixed.select("shingle"), "shingle", "left_semi").join(small, "node")
+        .select("shingle", "node", "size", "place", "component", "s0", "s1", "s2", "s3"),
+        "ngram-mixed")
+    large = rows.toDF("shingle", "node_x", "x", "at_x", "component_x", "x0", "x1", "x2", "x3")
     small = (rows.where("place < size - (8 * size + 8) div 9 + 1")
-             .toDF("shingle", "node_y", "y", "at_y", "component_y"))
+             .toDF("shingle", "node_y", "y", "at_y", "component_y", "y0", "y1", "y2", "y3"))
     return (large.join(small, "shingle")
             .where("component_x <> component_y and (x > y or x = y and node_x > node_y) "
                    "and 5 * y >= 4 * x and "
-                   "9 * (least(x - at_x, y - at_y) + least(at_x, at_y)) >= 4 * (x + y)")
+                   "9 * (least(x - at_x, y - at_y) + least(at_x, at_y)) >= 4 * (x + y) and "
+                   "9 * (bit_count(x0 ^ y0) + bit_count(x1 ^ y1) + bit_count(x2 ^ y2) "
+                   "+ bit_count(x3 ^ y3)) <= x + y")
             .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
             .distinct())
 
@@ -337,7 +351,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
              .distinct())
     first = linked(docs, stars, sets)
     labels = materialise(components(first), "ngram-labels")
-    more = linked(docs, other_pairs(lists, labels), sets)
+    more = linked(docs, other_pairs(lists, labels, sets), sets)
     named = rows.join(names, "set_name", "left")
     # Rows of one document with different sets.
     same = (named.where("doc_id is not null and node is not null").groupBy("doc_id")
