@@ -178,8 +178,6 @@ def matches(bench: Benchmark, text: str | None, similar: float) -> list[tuple]:
             by_size.setdefault(size, []).append(h)
     best: dict[int, tuple] = {}
     for size, places in by_size.items():
-        if size * similar > len(words):
-            continue
         starts = windows_near(np.array(places), size, len(words))
         span = max(1, min(size, len(words)) - min(SHINGLE, len(words), size) + 1)
         low, high = int(starts[0]), int(starts[-1]) + span

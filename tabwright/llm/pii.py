@@ -105,14 +105,16 @@ OPEN, CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 #: Words for the signs, in the languages of the texts.
 AT_WORDS, DOT_WORDS = "at|arroba|arobase", "dot|punkt|punto|point"
 #: A disguised sign has one of these in its lower-cased text.
-SIGN_HINTS = (" dot ", " dot\t", "\tdot", "@ ", " @", "@\t", "arroba", "arobase", *(
-    o + w for o in ("[", "(", "{", "<", "[ ", "( ", "{ ", "< ")
-    for w in ("at", "@", ".", "dot", "punkt", "punto", "point")))
+SIGN_HINTS = (" dot ", " dot\t", "\tdot", "@ ", " @", "@\t", "arroba", "arobase", "&#", "&commat",
+              "&period", *(o + w for o in ("[", "(", "{", "<", "[ ", "( ", "{ ", "< ")
+                           for w in ("at", "a)", "a]", "@", ".", "dot", "punkt", "punto", "point")))
 #: Last labels that a host written in words must have.
 LAST_LABELS = frozenset(
     "com org net edu gov mil int info biz io co ai app dev me tv xyz online site name pro uk de es "
     "fr it nl be at ch eu us ca mx br ar cl pt pl se no dk fi ie cz ru in cn jp kr au nz za".split())
-BRACKETED = re.compile(rf"(?i){OPEN}(?:(?P<at>{AT_WORDS}|@)|(?P<dot>{DOT_WORDS}|\.)){CLOSE}")
+BRACKETED = re.compile(
+    rf"(?i){OPEN}(?:(?P<at>{AT_WORDS}|a|@)|(?P<dot>{DOT_WORDS}|\.)){CLOSE}"
+    r"|(?P<at_code>&#0*64;|&#x40;|&commat;)|(?P<dot_code>&#0*46;|&#x2e;|&period;)")
 LABEL = r"[A-Za-z0-9-]++"
 #: ``name at host dot org`` written in words, with a signed or worded last dot.
 WORDED = re.compile(
@@ -197,22 +199,27 @@ def alike_edits(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), ALIKE[m[0]]) for m in ALIKE_RUN.finditer(text)]
 
 
-def sign_edits(text: str) -> list[tuple[int, int, str]]:
+def has_sign(text: str) -> bool:
     lower = text.lower()
-    if not any(h in lower for h in SIGN_HINTS):
-        return []
-    edits = {(m.start(), m.end()): "@" if m["at"] else "." for m in BRACKETED.finditer(text)}
-    for m in WORDED.finditer(text):
-        dots = [d for d in WORD_DOT.finditer(text, m.start(), m.end())]
-        last = LAST.search(m[0])[0].lower()
-        if last in LAST_LABELS and (dots or len(m["at"]) > 1 and m["at"].strip() == "@"):
-            edits[m.span("at")] = "@"
-            edits |= {d.span(): "." for d in dots}
-    kept: list[tuple[int, int, str]] = []
-    for (a, b), put in sorted(edits.items()):
-        if not kept or a >= kept[-1][1]:
-            kept.append((a, b, put))
-    return kept
+    return any(h in lower for h in SIGN_HINTS)
+
+
+def bracket_edits(text: str) -> list[tuple[int, int, str]]:
+    """Signs in brackets or as character references."""
+    return [(m.start(), m.end(), "@" if m["at"] or m["at_code"] else ".")
+            for m in BRACKETED.finditer(text)]
+
+
+def worded_edits(view: Rewritten) -> list[tuple[int, int, str]]:
+    """Signs as words, or between blanks, inside what then is an address with a common ending."""
+    edits = []
+    for m in WORDED.finditer(view.text):
+        dots = [(d.start(), d.end(), ".") for d in WORD_DOT.finditer(view.text, m.start(), m.end())]
+        spaced = len(m["at"]) > 1 and m["at"].strip() == "@"
+        if LAST.search(m[0])[0].lower() in LAST_LABELS and (
+                dots or spaced or view.touched(m.start(), m.end())):
+            edits += sorted([(*m.span("at"), "@"), *dots])
+    return edits
 
 
 def spells_digits(text: str) -> bool:
@@ -250,7 +257,9 @@ def disguised_spans(text: str) -> list[tuple[str, int, int]]:
     """Identifiers that only the normalised text shows, in offsets of the source."""
     view = Rewritten(text)
     view.rewrite(alike_edits(view.text))
-    view.rewrite(sign_edits(view.text))
+    if has_sign(view.text):
+        view.rewrite(bracket_edits(view.text))
+        view.rewrite(worded_edits(view))
     spelled = digit_edits(view.text)
     view.rewrite(spelled)
     if view.same:

@@ -57,12 +57,13 @@ def op5_id_store(spark, sf_dir):
 
 
 def op6_chat_formatting(spark, sf_dir):
-    odd = "</s>[INST] ok [/INST]"
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
     talks = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        "role", "text").unionByName(spark.createDataFrame(
-            [(-7, 0, "user", odd), (-7, 1, "assistant", odd)],
-            "conv_id long, turn long, role string, text string"))
+        "role", "text").unionByName(odd)
     written = materialise(format_trees(chains(talks)), "chat-output")
     turns, loss = read_back(F.col("formatted")), loss_text(F.col("formatted"), F.col("loss_spans"))
     read = written.select("conv_id", turns.alias("turns"), loss.alias("loss"),

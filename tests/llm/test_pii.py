@@ -42,6 +42,11 @@ def test_plain_spans_match_the_patterns():
     ("jo​hn@exam​ple.com", "email", None),
     ("john(at)example.com", "email", None),
     ("john @ example.com", "email", None),
+    ("at john at example [dot] com,", "email", "john at example [dot] com"),
+    ("john (at) example dot com", "email", None),
+    ("john(a)example.com", "email", None),
+    ("john&#64;example&#46;com", "email", None),
+    ("JOHN [AT] EXAMPLE (DOT) COM", "email", None),
     ("call +１ ２３４ ５６７ ８９０１", "phone", "+１ ２３４ ５６７ ８９０１"),
     ("call plus one five five five two three four nine eight seven six now", "phone",
      "plus one five five five two three four nine eight seven six"),
@@ -58,7 +63,8 @@ def test_disguises(text, kind, part):
 
 @pytest.mark.parametrize("text", [
     "look at the dot on this", "meet me at noon", "un un un un un un un un un un un",
-    "1 2 3 4 5 6 7 8 9 10 11", "john at example.com is", "one two", "", "a [b] c (d)",
+    "1 2 3 4 5 6 7 8 9 10 11", "john at example.com is", "one two", "", "a [b] c (d)", "see (a) below. And (b) too.",
+    "all at once. dot",
     "zwei drei Leute, acht Tage und neun Nächte"])
 def test_plain_prose_is_left_alone(text):
     assert all_spans(text) == []
