@@ -29,6 +29,8 @@ PLAIN_RANGES = ((0x20, 0x7E), (0xA1, 0x24F), (0x370, 0x3FF), (0x400, 0x52F), (0x
 
 #: Pieces kept in a worker's memory; beyond it new pieces are encoded without being kept.
 MEMORY_PIECES = 600_000
+#: Characters of the longest piece that is kept.
+MEMORY_CHARS = 64
 
 
 def char_class(kind: str) -> str:
@@ -59,7 +61,8 @@ BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in
 
 
 class Memory(dict):
-    """Remembers ``make(key)``; once ``MEMORY_PIECES`` are kept, new ones are made and not kept."""
+    """Remembers ``make(key)`` for short keys; once ``MEMORY_PIECES`` are kept, new ones are made and
+    not kept."""
 
     def __init__(self, make):
         super().__init__()
@@ -67,7 +70,7 @@ class Memory(dict):
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(self) < MEMORY_PIECES:
+        if len(self) < MEMORY_PIECES and len(key) <= MEMORY_CHARS:
             self[key] = value
         return value
 
