@@ -126,13 +126,15 @@ def encode_ordered(docs: DataFrame, tokenizer: str, end_id: int, parts: int) ->
 
     Returns ``part`` (number of the range), ``local_start`` (ids before the document within its
     range), ``doc_id``, ``ids`` (little-endian, ``end_id`` last) and ``n_tokens``. Rows of one
-    ``doc_id`` follow each other by text; rows without a ``doc_id`` come first; a null text has
-    the end id alone. The first pass of a two-pass prefix sum: write it before reading it twice.
+    ``doc_id`` follow each other by their text's hash and text, and may spread over several ranges;
+    rows without a ``doc_id`` come first; a null text has the end id alone. The first pass of a
+    two-pass prefix sum: write it before reading it twice.
     """
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-            .sortWithinPartitions(F.col("doc_id").asc_nulls_first(),
-                                  F.col("text").asc_nulls_first()))
+    order = [F.col(c).asc_nulls_first() for c in ("doc_id", "text_hash", "text")]
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                        F.xxhash64("text").alias("text_hash"))
+            .repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
+            .select("doc_id", "text"))
 
     def encode_part(batches):
         encode = encoder(tokenizer)

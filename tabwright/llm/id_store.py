@@ -3,7 +3,7 @@
 A store is a Parquet folder of blocks in ascending ``doc_id`` order. A block holds the raw ids of
 consecutive documents (``payload``), their keys, and its index: ``seeds`` (one a bucket), and for
 every slot the ``fingerprints``, ``offsets`` and ``lengths`` of the document hashed to it. A key is
-a ``doc_id`` and its number among equal ones, so repeated ids stay apart.
+a ``doc_id`` and its number among equal ones of the block, so repeated ids stay apart.
 """
 
 from __future__ import annotations
@@ -86,12 +86,11 @@ def perfect_seeds(hashes: np.ndarray) -> np.ndarray:
     return seeds
 
 
-def ordinals(ids: np.ndarray, null: np.ndarray, before: int) -> np.ndarray:
-    """Number of each key among equal neighbours; ``before`` equal ones precede the first."""
+def ordinals(ids: np.ndarray, null: np.ndarray) -> np.ndarray:
+    """Number of each key among equal neighbours."""
     change = np.ones(len(ids), bool)
     change[1:] = (ids[1:] != ids[:-1]) | (null[1:] != null[:-1])
-    first = np.maximum.accumulate(np.where(change, np.arange(len(ids)), 0))
-    return np.arange(len(ids)) - first + np.where(first == 0, before, 0)
+    return np.arange(len(ids)) - np.maximum.accumulate(np.where(change, np.arange(len(ids)), 0))
 
 
 def block_index(hashes: np.ndarray, lengths: np.ndarray) -> dict:
@@ -104,12 +103,12 @@ def block_index(hashes: np.ndarray, lengths: np.ndarray) -> dict:
             "lengths": lengths[by_slot].astype("<u4").tobytes()}
 
 
-def make_block(part: int, block: int, start: int, ids: list, payloads: list, width: int,
-               before: int) -> tuple[dict, int]:
-    """One block of documents in order; also the number of its last key among equal ones."""
+def make_block(part: int, block: int, start: int, ids: list, payloads: list,
+               width: int) -> dict:
+    """One block of documents in order."""
     null = np.array([i is None for i in ids])
     keys = np.array([i or 0 for i in ids], np.int64)
-    nth = ordinals(keys, null, before)
+    nth = ordinals(keys, null)
     lengths = np.array([len(p) // width for p in payloads], np.int64)
     salt = 0
     while len(np.unique(hashes := key_hashes(keys, nth, null, salt))) < len(hashes):
@@ -118,15 +117,15 @@ def make_block(part: int, block: int, start: int, ids: list, payloads: list, wid
            "last_id": ids[-1], "n_docs": len(ids), "n_tokens": int(lengths.sum()),
            "width": width, "keys": np.stack([keys, nth]).tobytes(),
            "null_keys": int(null.sum()), "payload": b"".join(payloads), "salt": salt}
-    return row | block_index(hashes, lengths), int(nth[-1]) + 1
+    return row | block_index(hashes, lengths)
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
                 parts: int | None = None) -> None:
     """Encode all documents and write their store to ``path``, a folder that Spark can reach.
 
-    Documents are in ascending ``doc_id`` order (null ids first, equal ids by text); a null or
-    empty text is its end id alone; an empty table gives a store without blocks.
+    Documents are in ascending ``doc_id`` order (null ids first, equal ids by the text's hash and
+    text); a null or empty text is its end id alone; an empty table gives a store without blocks.
     """
     encoded = encode_ordered(docs, tokenizer, end_id, parts or part_count(docs))
     schema = docs.sparkSession.createDataFrame([], BLOCKS).schema
@@ -135,13 +134,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
     def blocks_of_part(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow, width = to_arrow_schema(schema), encoder(tokenizer).dtype.itemsize
-        ids, payloads, size, number, start, before, part, last = [], [], 0, 0, 0, 0, 0, ()
+        ids, payloads, size, number, start, part = [], [], 0, 0, 0, 0
 
         def flush():
-            nonlocal ids, payloads, size, number, start, before, last
-            again = before if last == (ids[0],) else 0
-            row, before = make_block(part, number, start, ids, payloads, width, again)
-            last, number, start = (ids[-1],), number + 1, start + size
+            nonlocal ids, payloads, size, number, start
+            row = make_block(part, number, start, ids, payloads, width)
+            number, start = number + 1, start + size
             ids, payloads, size = [], [], 0
             return pa.RecordBatch.from_pylist([{n: row[n] for n in names}], schema=arrow)
 
@@ -183,7 +181,7 @@ def block_starts(blocks: DataFrame) -> DataFrame:
         "block_start", F.col("part_start") + F.col("local_start"))
 
 
-FOUND = "doc_id long, nth long, start long, n_tokens long, ids binary"
+FOUND = "doc_id long, start long, n_tokens long, ids binary"
 
 
 def found_rows(ids, nth, null, start, blocks: dict, keep) -> pa.RecordBatch:
@@ -191,17 +189,15 @@ def found_rows(ids, nth, null, start, blocks: dict, keep) -> pa.RecordBatch:
     keep = np.flatnonzero(found & keep)
     data = payload_ids(blocks)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[keep], mask=null[keep]), pa.array(nth[keep]),
-         pa.array(start + offset[keep]), pa.array(length[keep]),
+        [pa.array(ids[keep], mask=null[keep]), pa.array(start + offset[keep]), pa.array(length[keep]),
          pa.array([data[o:o + n].astype("<u4").tobytes()
                    for o, n in zip(offset[keep], length[keep])], pa.binary())],
-        names=["doc_id", "nth", "start", "n_tokens", "ids"])
+        names=["doc_id", "start", "n_tokens", "ids"])
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of a store, each looked up by its key: ``doc_id``, ``nth`` (its number among
-    equal ids), ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``
-    (little-endian unsigned 32-bit)."""
+    """Every document of a store, each looked up by its key: ``doc_id``, ``start`` (ids of all
+    documents before it), ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit)."""
     def read(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -232,14 +228,12 @@ def look_up(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
                 block = batch.slice(i, 1).to_pylist()[0]
                 low = block["first_id"] if block["first_id"] is not None else -(1 << 63)
                 near = wanted[(wanted >= low) & (wanted <= block["last_id"])]
-                last, nth = near, 0
-                while len(last):  # equal ids follow each other
-                    at, null = np.full(len(last), nth), np.zeros(len(last), bool)
-                    found, _, _ = find(block, last, at, null)
-                    yield found_rows(last, at, null, block["block_start"], block, found)
-                    keys, numbers = np.frombuffer(block["keys"], np.int64).reshape(2, -1)
-                    nth += 1
-                    last = last[found | (np.isin(last, keys[numbers >= nth]))]
+                nth = 0
+                while len(near):  # equal ids have the numbers from 0 on
+                    at, null = np.full(len(near), nth), np.zeros(len(near), bool)
+                    found, _, _ = find(block, near, at, null)
+                    yield found_rows(near, at, null, block["block_start"], block, found)
+                    near, nth = near[found], nth + 1
 
     return block_starts(spark.read.parquet(path)).where(near).mapInArrow(read, FOUND)
 
