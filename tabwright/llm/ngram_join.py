@@ -353,10 +353,11 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     labels = materialise(components(first), "ngram-labels")
     more = linked(docs, other_pairs(lists, labels, sets), sets)
     named = rows.join(names, "set_name", "left")
-    # Rows of one document with different sets.
-    same = (named.where("doc_id is not null and node is not null").groupBy("doc_id")
-            .agg(F.min("node").alias("a"), F.collect_set("node").alias("nodes"))
-            .where(F.size("nodes") > 1).select("a", F.explode("nodes").alias("b")))
+    # Rows of one document with different sets: each is linked with the document's smallest node.
+    several = (named.where("doc_id is not null").groupBy("doc_id")
+               .agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top"))
+    same = (named.select("doc_id", F.col("node").alias("b")).join(several, "doc_id")
+            .select("a", "b").distinct())
     labels = materialise(components(first.unionByName(more).unionByName(same)), "ngram-labels")
     return (labelled(named, labels)
             .select("doc_id", "n_shingles",
