@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import free_name, slices, with_field
-from tabwright.llm.encode import Memory
+from tabwright.llm.encode import Memory, keep_only
 
 SHINGLE = 5
 #: Least similarity of a match.
@@ -39,7 +39,7 @@ ITEMS_AT_ONCE = 50_000
 
 PUNCTUATION = b".,;:!?\"'()[]{}<>*#$%&|_`~^+=/\\-"
 WORD = re.compile(r"\S+")
-_WORDS = Memory(xxhash.xxh64_intdigest)
+_WORDS = Memory(xxhash.xxh64_intdigest, 300_000)
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -232,6 +232,7 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, name: str = "matches",
             compile_benchmark([(r.item_id, r.text) for r in asked]))
 
         def scan(batches, sent=sent):
+            keep_only(_WORDS)
             for batch in slices(batches):
                 found = []
                 for text in batch.column("text").to_pylist():

@@ -12,6 +12,7 @@ import json
 import os
 import re
 import unicodedata
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -61,20 +62,30 @@ BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in
 
 
 class Memory(dict):
-    """Remembers ``make(key)`` for short keys; once ``MEMORY_PIECES`` are kept, new ones are made and
-    not kept."""
+    """Remembers ``make(key)`` for short keys; once ``most`` are kept (MEMORY_PIECES by default), new
+    ones are made and not kept."""
 
-    def __init__(self, make):
+    all: ClassVar[list[Memory]] = []
+
+    def __init__(self, make, most: int | None = None):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
+        Memory.all.append(self)
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(self) < MEMORY_PIECES and len(key) <= MEMORY_CHARS:
+        if len(self) < (self.most or MEMORY_PIECES) and len(key) <= MEMORY_CHARS:
             self[key] = value
         return value
 
 
+def keep_only(*memories: Memory) -> None:
+    """Forget what other operators remember in this worker, which runs tasks of all of them."""
+    for memory in Memory.all:
+        if not any(memory is kept for kept in memories):
+            memory.clear()
+
+
 class PieceEncoder:
     """Encodes texts to little-endian ids, as ``encode(text, add_special_tokens=False)`` does."""
 
@@ -138,6 +149,7 @@ def encode_ordered(docs: DataFrame, tokenizer: str, end_id: int, parts: int) ->
 
     def encode_part(batches):
         encode = encoder(tokenizer)
+        keep_only(encode.pieces)
         end = np.array([end_id], encode.dtype).tobytes()
         part, start, width = TaskContext.get().partitionId(), 0, encode.dtype.itemsize
         for batch in slices(batches):

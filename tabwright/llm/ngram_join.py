@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.scratch import materialise
 from tabwright.llm.common import slices
-from tabwright.llm.encode import Memory
+from tabwright.llm.encode import Memory, keep_only
 
 WORDS = 5
 #: Shingles at most whose counts order the lists, and the count from which they are worth it.
@@ -36,7 +36,7 @@ COUNTED_TOGETHER = 2_000_000
 #: Bits at most of the bitmap of documents whose sets are looked up (sent to all tasks).
 LOOKUP_BITS = 1 << 27
 
-_WORDS = Memory(xxhash.xxh64_intdigest)
+_WORDS = Memory(xxhash.xxh64_intdigest, 300_000)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -100,6 +100,7 @@ def described(docs: DataFrame) -> DataFrame:
     """Size and 128-bit name of every document's set, and counts of shingles that several sets of a
     task share (on some rows, else null)."""
     def describe(batches):
+        keep_only(_WORDS)
         seen: dict[bytes, np.ndarray] = {}
         held = 0
         for batch in slices(batches):
@@ -152,6 +153,7 @@ def short_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def take(batches):
+        keep_only(_WORDS)
         kinds, counts = sent.value
         for batch in slices(batches):
             sizes, names, maps, small, heads = [], [], [], [], []
@@ -228,6 +230,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sent = spark.sparkContext.broadcast(table)
 
     def take(batches):
+        keep_only(_WORDS)
         for batch in slices(batches):
             bit = batch.column("bit").to_numpy(zero_copy_only=False)
             asked = np.flatnonzero(sent.value[bit // 32] >> (bit % 32).astype(np.uint32) & 1)

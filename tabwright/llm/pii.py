@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import slices, with_field
+from tabwright.llm.encode import keep_only
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -310,6 +311,7 @@ def find_personal_data(docs: DataFrame, found: str = "found",
                                ("end", pa.int32()), ("plain", pa.bool_())]))
 
     def scan(batches):
+        keep_only()
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             spans = [all_spans(t) for t in texts]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tabwright.llm.common import slices
-from tabwright.llm.encode import LETTERS, NUMBERS, PLAIN, WHITE, Memory
+from tabwright.llm.encode import LETTERS, NUMBERS, PLAIN, WHITE, Memory, keep_only
 
 #: Characters of a chunk; longer texts are cut wherever this ends.
 CHUNK_CHARS = 1 << 16
@@ -152,6 +152,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048,
     """
     def count_part(batches):
         transducer = compiled(tokenizer)
+        keep_only(transducer.pieces, transducer.words)
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             counts = [transducer.count(t, chunk_chars) for t in texts]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import slices, with_field
-from tabwright.llm.encode import Memory
+from tabwright.llm.encode import Memory, keep_only
 
 #: Hash buckets of the features.
 BUCKETS = 1 << 20
@@ -36,8 +36,8 @@ THRESHOLD = 0.7
 class Learning:
     """Sizes of the sample that a model is fitted on, and the steps of the fit."""
 
-    positives: int = 8_000      #: confirmed toxic documents at most (chosen by hash)
-    unlabelled: int = 24_000    #: unlabelled documents at most (chosen by hash)
+    positives: int = 6_000      #: confirmed toxic documents at most (chosen by hash)
+    unlabelled: int = 12_000    #: unlabelled documents at most (chosen by hash)
     least_rows: int = 3         #: positives that a feature must occur in
     least_share: float = 0.02   #: and the share of all positives that these must be
     precise: float = 0.5        #: share of positives that its rows must have by the prior
@@ -53,22 +53,22 @@ def bucket(feature: str) -> int:
     return zlib.crc32(feature.encode()) % BUCKETS
 
 
-def word_features(word: str) -> tuple[int, ...]:
-    """Buckets of a word and of its stems."""
+def word_features(word: str) -> bytes:
+    """Buckets of a word and of its stems, as 32-bit integers."""
     bare = word.strip(PUNCTUATION)
     if not bare:
-        return ()
-    return (bucket(" " + bare), *(bucket(bare[:n]) for n in STEMS if len(bare) > n))
+        return b""
+    found = [bucket(" " + bare), *(bucket(bare[:n]) for n in STEMS if len(bare) > n)]
+    return np.array(found, np.int32).tobytes()
 
 
-_WORDS = Memory(word_features)
+_WORDS = Memory(word_features, 300_000)
 
 
 def text_features(text: str | None) -> np.ndarray:
-    """Distinct feature buckets of a whole text."""
-    found: set[int] = set()
-    found.update(*map(_WORDS.__getitem__, set((text or "").lower().split())))
-    return np.fromiter(found, np.int32, len(found))
+    """Distinct feature buckets of a whole text, in order."""
+    words = set((text or "").lower().split())
+    return np.unique(np.frombuffer(b"".join(map(_WORDS.__getitem__, words)), np.int32))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -225,6 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Mod
               .select(F.lit(False).alias("positive"), "text")))
 
     def features(batches):
+        keep_only(_WORDS)
         for batch in slices(batches):
             rows = [text_features(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -232,12 +233,10 @@ def learn(docs: DataFrame, labels: DataFrame, how: Learning = Learning()) -> Mod
                 names=["positive", "features"])
 
     rows = sample.mapInArrow(features, "positive boolean, features binary").toArrow()
-    positive = rows.column("positive").to_numpy()
-    cells = [np.sort(np.frombuffer(x, np.int32)) for x in rows.column("features").to_pylist()]
     # A fixed order, whatever the order in which tasks ended.
-    order = sorted(range(len(cells)), key=lambda i: (positive[i], cells[i].tobytes()))
-    toxic_rows = [cells[i] for i in order if positive[i]]
-    other_rows = [cells[i] for i in order if not positive[i]]
+    cells = sorted(zip(rows.column("positive").to_pylist(), rows.column("features").to_pylist()))
+    toxic_rows = [np.frombuffer(x, np.int32) for positive, x in cells if positive]
+    other_rows = [np.frombuffer(x, np.int32) for positive, x in cells if not positive]
     if not toxic_rows or not other_rows:
         return Model(np.zeros(0, np.int32), np.zeros(0), -60.0)
     kept, weights = fit_nnpu(toxic_rows, other_rows, confirmed / seen, how)
@@ -254,6 +253,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS weights
 
     def score_part(batches):
+        keep_only(_WORDS)
         for batch in slices(batches):
             found = sent.value.scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)],
