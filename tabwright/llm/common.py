@@ -43,6 +43,15 @@ def with_field(df: DataFrame, name: str, kind: str | T.DataType) -> T.StructType
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of written tables of one's own that nothing reads any more."""
+    for written in tables:
+        spark = written.sparkSession
+        for file in written.inputFiles()[:1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def part_count(df: DataFrame, least: int = 1) -> int:
     """Partitions for a keyed exchange of ``df``: the session's shuffle partitions."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.scratch import materialise
-from tabwright.llm.common import slices
+from tabwright.llm.common import discard, slices
 from tabwright.llm.encode import Memory, keep_only
 
 WORDS = 5
@@ -259,8 +259,10 @@ def linked(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 chosen.append(shared(x, y) >= max(1, needed(len(x), len(y))))
             yield batch.select(["a", "b"]).filter(pa.array(chosen, pa.bool_()))
 
-    return materialise(both.select("a", "b", "set_a", "set_b").mapInArrow(keep, "a long, b long"),
-                       "ngram-links")
+    links = materialise(both.select("a", "b", "set_a", "set_b").mapInArrow(keep, "a long, b long"),
+                        "ngram-links")
+    discard(pairs, found)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -300,14 +302,14 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "node"))
 
 
-def other_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def other_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple:
     """Pairs of a list that are not yet in one group and can link by their sizes, places and small
-    bitmaps (which bound the overlap like the large ones).
+    bitmaps (which bound the overlap like the large ones); also the written table they come from.
 
     The larger set probes with all its short lists; of the smaller, which needs T >= 8 y / 9, the
     first y - T + 1 suffice.
     """
-    rows = materialise(labelled(lists.drop("first"), labels), "ngram-lists")
+    marked = rows = materialise(labelled(lists.drop("first"), labels), "ngram-lists")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("low"),
                                         F.max("component").alias("high")).where("low < high")
     small = sets.select("node", *[F.col("small")[k].alias(f"s{k}") for k in range(4)])
@@ -315,10 +317,11 @@ def other_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
         rows.join(mixed.select("shingle"), "shingle", "left_semi").join(small, "node")
         .select("shingle", "node", "size", "place", "component", "s0", "s1", "s2", "s3"),
         "ngram-mixed")
+    discard(marked)
     large = rows.toDF("shingle", "node_x", "x", "at_x", "component_x", "x0", "x1", "x2", "x3")
     small = (rows.where("place < size - (8 * size + 8) div 9 + 1")
              .toDF("shingle", "node_y", "y", "at_y", "component_y", "y0", "y1", "y2", "y3"))
-    return (large.join(small, "shingle")
+    pairs = (large.join(small, "shingle")
             .where("component_x <> component_y and (x > y or x = y and node_x > node_y) "
                    "and 5 * y >= 4 * x and "
                    "9 * (least(x - at_x, y - at_y) + least(at_x, at_y)) >= 4 * (x + y) and "
@@ -326,6 +329,7 @@ def other_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
                    "+ bit_count(x3 ^ y3)) <= x + y")
             .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
             .distinct())
+    return pairs, rows
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -354,7 +358,9 @@ def similar_groups(docs: DataFrame) -> DataFrame:
              .distinct())
     first = linked(docs, stars, sets)
     labels = materialise(components(first), "ngram-labels")
-    more = linked(docs, other_pairs(lists, labels, sets), sets)
+    others, mixed = other_pairs(lists, labels, sets)
+    more = linked(docs, others, sets)
+    discard(lists, mixed, sets)
     named = rows.join(names, "set_name", "left")
     # Rows of one document with different sets: each is linked with the document's smallest node.
     several = (named.where("doc_id is not null").groupBy("doc_id")
