@@ -105,10 +105,6 @@ ALIKE_RUN = re.compile("[" + "".join(map(re.escape, ALIKE)) + "]")
 OPEN, CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 #: Words for the signs, in the languages of the texts.
 AT_WORDS, DOT_WORDS = "at|arroba|arobase", "dot|punkt|punto|point"
-#: A disguised sign has one of these in its lower-cased text.
-SIGN_HINTS = (" dot ", " dot\t", "\tdot", "@ ", " @", "@\t", "arroba", "arobase", "&#", "&commat",
-              "&period", *(o + w for o in ("[", "(", "{", "<", "[ ", "( ", "{ ", "< ")
-                           for w in ("at", "a)", "a]", "@", ".", "dot", "punkt", "punto", "point")))
 #: Last labels that a host written in words must have.
 LAST_LABELS = frozenset(
     "com org net edu gov mil int info biz io co ai app dev me tv xyz online site name pro uk de es "
@@ -124,6 +120,9 @@ WORDED = re.compile(
     rf"(?:(?:\.|[ \t]+(?:{DOT_WORDS})[ \t]+){LABEL})+")
 LAST = re.compile(r"[A-Za-z0-9]+-*$")
 WORD_DOT = re.compile(rf"(?i)[ \t]+(?:{DOT_WORDS})[ \t]+")
+#: What every match of BRACKETED and of WORDED holds.
+BRACKET_HINT = re.compile(r"[\[({<&]")
+WORDED_HINT = re.compile(rf"(?i)@|[ \t](?:{AT_WORDS})[ \t]")
 
 #: Digits in English, Spanish, German and French words.
 DIGIT_WORDS = {w: str(d) for words in (
@@ -200,25 +199,28 @@ def alike_edits(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), ALIKE[m[0]]) for m in ALIKE_RUN.finditer(text)]
 
 
-def has_sign(text: str) -> bool:
-    lower = text.lower()
-    return any(h in lower for h in SIGN_HINTS)
-
-
 def bracket_edits(text: str) -> list[tuple[int, int, str]]:
     """Signs in brackets or as character references."""
+    if not BRACKET_HINT.search(text):
+        return []
     return [(m.start(), m.end(), "@" if m["at"] or m["at_code"] else ".")
             for m in BRACKETED.finditer(text)]
 
 
 def worded_edits(view: Rewritten) -> list[tuple[int, int, str]]:
-    """Signs as words, or between blanks, inside what then is an address with a common ending."""
+    """Signs as words, or between blanks, inside what then is an address with a common ending.
+
+    "at" before a host with plain dots is prose; the other words for the sign are not.
+    """
     edits = []
+    if not WORDED_HINT.search(view.text):
+        return edits
     for m in WORDED.finditer(view.text):
         dots = [(d.start(), d.end(), ".") for d in WORD_DOT.finditer(view.text, m.start(), m.end())]
-        spaced = len(m["at"]) > 1 and m["at"].strip() == "@"
+        sign = m["at"].strip().lower()
+        clear = len(m["at"]) > 1 if sign == "@" else sign != "at"
         if LAST.search(m[0])[0].lower() in LAST_LABELS and (
-                dots or spaced or view.touched(m.start(), m.end())):
+                dots or clear or view.touched(m.start(), m.end())):
             edits += sorted([(*m.span("at"), "@"), *dots])
     return edits
 
@@ -258,9 +260,8 @@ def disguised_spans(text: str) -> list[tuple[str, int, int]]:
     """Identifiers that only the normalised text shows, in offsets of the source."""
     view = Rewritten(text)
     view.rewrite(alike_edits(view.text))
-    if has_sign(view.text):
-        view.rewrite(bracket_edits(view.text))
-        view.rewrite(worded_edits(view))
+    view.rewrite(bracket_edits(view.text))
+    view.rewrite(worded_edits(view))
     spelled = digit_edits(view.text)
     view.rewrite(spelled)
     if view.same:

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from tabwright.llm import pii
 from tabwright.llm.pii import all_spans, find_personal_data, luhn, plain_spans
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -70,6 +71,30 @@ def test_plain_prose_is_left_alone(text):
     assert all_spans(text) == []
 
 
+@pytest.mark.parametrize("text", [
+    "max.muster at beispiel punkt de", "marie at exemple point fr", "juan at ejemplo punto com",
+    "juan@ejemplo punto com", "juan arroba ejemplo.com", "marie AROBASE exemple.fr",
+    "juan\tat\tejemplo\tpunto\tcom"])
+def test_words_of_all_languages(text):
+    for around in ("{}", "see {} now", "{} or jane (at) example (dot) org"):
+        found = [around.format(text)[a:b] for _, a, b, _ in all_spans(around.format(text))]
+        assert found[0] == text
+
+
+def test_hints_never_change_the_spans(monkeypatch):
+    rng = random.Random(4)
+    signs = [" at ", "\tat ", " Arroba ", " arobase ", " aroba\u017fe ", "@", " @ ", "@ ", "(at)", "[ A ]",
+             "<@>", "&#64;", "&commat;", "&#x40;", " dot ", " punkt ", " PUN\u212aT ", " punto\t", " point ",
+             " po\u0130nt ", ".", "{dot}", "( . )", "&period;", " ", "\t", "\u200b", "j\u043ehn", "john", "mail",
+             "com", "de", "a", "7", "\n"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(4, 16))) for _ in range(30_000)]
+    gated = [all_spans(t) for t in texts]
+    monkeypatch.setattr(pii, "BRACKET_HINT", re.compile(""))
+    monkeypatch.setattr(pii, "WORDED_HINT", re.compile(""))
+    assert sum(map(bool, gated)) > 100
+    assert gated == [all_spans(t) for t in texts]
+
+
 def test_rows(make_docs):
     long = "word " * 50_000 + "a@b.com"
     rows = [(1, "mail a@b.com or c (at) d (dot) org"), (1, None), (2, ""), (None, long),
