@@ -36,12 +36,11 @@ THRESHOLD = 0.7
 class Learning:
     """Sizes of the sample that a model is fitted on, and the steps of the fit."""
 
-    positives: int = 6_000      #: confirmed toxic documents at most (chosen by hash)
-    unlabelled: int = 12_000    #: unlabelled documents at most (chosen by hash)
+    positives: int = 8_000      #: confirmed toxic documents at most (chosen by hash)
+    unlabelled: int = 24_000    #: unlabelled documents at most (chosen by hash)
     least_rows: int = 3         #: positives that a feature must occur in
-    least_share: float = 0.02   #: and the share of all positives that these must be
     precise: float = 0.5        #: share of positives that its rows must have by the prior
-    deviations: float = 4.0     #: by which it must be more frequent among positives
+    deviations: float = 5.0     #: by which it must be more frequent among positives
     epochs: int = 30
     batch: int = 512
     rate: float = 0.05
@@ -95,10 +94,11 @@ def raised_features(positives: list[np.ndarray], unlabelled: list[np.ndarray], p
                     how: Learning) -> np.ndarray:
     """Features clearly more frequent among positives than among unlabelled rows, in order.
 
-    With shares p and u of rows that have a feature, prior * p / u of its rows are positive.
+    With shares p and u of rows that have a feature, prior * p / u of its rows are positive. There is
+    no least share of the positives: the words of a small language are rare among all of them.
     """
     seen, counts = np.unique(np.concatenate(positives), return_counts=True)
-    common = counts >= max(how.least_rows, how.least_share * len(positives))
+    common = counts >= how.least_rows
     seen, counts = seen[common], counts[common]
     others, other_counts = np.unique(np.concatenate(unlabelled), return_counts=True)
     at = np.minimum(np.searchsorted(others, seen), max(0, len(others) - 1))

@@ -24,6 +24,21 @@ def test_learns_from_positives_and_unlabelled_rows():
     assert (sums(rows(200, False)) > 0).mean() < 0.05
 
 
+def test_words_of_a_small_language_are_features():
+    rng = np.random.default_rng(5)
+
+    def rows(n, low, word=None):
+        return [np.unique(np.append(rng.integers(low, low + 300, 20), [] if word is None else word))
+                .astype(np.int32) for _ in range(n)]
+
+    positives = rows(985, 0, 5000) + rows(15, 1000, 6000)
+    unlabelled = rows(2700, 0) + rows(260, 1000) + rows(40, 0, 5000)
+    kept, weights = T.fit_nnpu(positives, unlabelled, 0.1, T.Learning())
+    assert {5000, 6000} <= set(kept)
+    found = [weights[:-1][np.isin(kept, r)].sum() + weights[-1] > 0 for r in positives]
+    assert np.mean(found[-15:]) == 1 and np.mean(found[:-15]) > 0.9
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
