@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.functions.columns import name as quoted
 from tabwright.functions.scratch import materialise
 from tabwright.llm import decontaminate, ngram_join, packing, pii, toxicity
 from tabwright.llm.common import free_name
@@ -29,25 +30,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest ``doc_id``.
+    """One row of each group of rows with similar texts: that with the smallest ``doc_id``.
 
-    Of rows with the same ``doc_id`` one stays. Rows without a ``doc_id`` count as documents of
-    their own, after all others. Rows without words are similar to nothing and stay.
+    Every row counts on its own, also among rows of one ``doc_id``; of those the smallest hash of the
+    row stays. Rows without a ``doc_id`` come after all others. Rows without words are similar to
+    nothing and stay.
     """
-    key = free_name(docs, "dedup_key")
-    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
-    if not docs.where("doc_id is null").isEmpty():
-        last = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
-        keyed = materialise(docs.withColumn(key, F.coalesce(
-            F.col("doc_id").cast("long"),
-            F.lit(last + 1) + F.monotonically_increasing_id())), "pipeline-keyed")
+    key, number = free_name(docs, "dedup_key"), F.col("doc_id").cast("long")
+    shared = docs.groupBy(number.alias("id")).count().where("id is null or count > 1")
+    unique = shared.isEmpty()
+    if unique:  # the ids tell the rows apart
+        keyed = docs.withColumn(key, number)
+    else:
+        keyed = materialise(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-keyed")
     groups = ngram_join.similar_groups(keyed.select(F.col(key).alias("doc_id"), "text"))
-    kept = materialise(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key))
-                       .agg(F.count(F.lit(1)).alias("rows_of_key")), "pipeline-kept")
-    once = keyed.join(kept.select(key), key, "left_semi")
-    if not kept.where("rows_of_key > 1").isEmpty():
-        once = once.dropDuplicates([key])
-    return once.select(*docs.columns)
+    if unique:
+        kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(key))
+    else:
+        hashed = [quoted(f.name) for f in docs.schema
+                  if "map<" not in f.dataType.simpleString()]  # maps have no hash
+        order = keyed.select(F.col(key).alias("doc_id"), F.struct(
+            number.isNull().alias("last"), number.alias("id"), F.xxhash64(*hashed).alias("row"),
+            F.col(key).alias("key")).alias("place"))
+        kept = (groups.join(order, "doc_id").groupBy("component_id")
+                .agg(F.min("place").alias("place")).select(F.col("place.key").alias(key)))
+    kept = materialise(kept, "pipeline-kept")
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,22 @@ def test_stages_in_order(spark, folder):
     assert (9005, "write to [EMAIL] or [PHONE] soon") in hidden
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark, folder):
+    first = " ".join(f"alpha{i}" for i in range(60))
+    second = " ".join(f"omega{i}" for i in range(60))
+    rows = [(1, first, {"a": 1}), (1, second, {}), (2, first + " end", {}), (3, second + " end", {}),
+            (None, first, {}), (None, "nothing like the others at all", {}), (1, None, {}), (4, "", {}),
+            (1, "", {})]
+    kept = []
+    for parts, order in ((1, rows), (3, rows[::-1])):
+        docs = spark.createDataFrame(order, "doc_id long, text string, `a map` map<string, int>")
+        docs = P.drop_near_copies(spark, docs.repartition(parts), folder)
+        assert docs.columns == ["doc_id", "text", "a map"]
+        kept.append(sorted(((r.doc_id, r.text) for r in docs.collect()), key=str))
+    assert kept[0] == kept[1] == sorted(
+        [(1, first), (1, second), rows[5][:2], (1, None), (4, ""), (1, "")], key=str)
+
+
 def test_whole_run(spark, folder):
     found = P.run(spark, folder).collect()
     ends = sorted((r.sequence_id * 1024 + r.offset, r.length) for r in found)
