@@ -86,8 +86,8 @@ class Benchmark:
     sizes: np.ndarray
     bags: list[dict[int, int]]
     prints: np.ndarray
-    weights: dict[int, int]
-    unseen: int
+    weights: dict[int, int]       #: of the shingles that two or more items have
+    unseen: int                   #: weight of all others
     shingles: np.ndarray          #: all shingles of items, sorted
     owners: list[np.ndarray]      #: sizes of the items that hold each
     index: list[list[np.ndarray]]  #: by block and value: the items near it
@@ -98,18 +98,47 @@ def weight_of(rarity: float) -> int:
     return max(1, round(256 * math.log(1 + rarity)))
 
 
-def compile_benchmark(rows: list[tuple[int, str | None]]) -> Benchmark:
+def count_shared(items: DataFrame) -> tuple[int, dict[int, int]]:
+    """Number of the items with words, and of those that have a shingle, for each shingle of two or
+    more. Shingles of one item weigh as much as those of none and need no entry."""
+    def shingles(batches):
+        keep_only(_WORDS)
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(word_hashes(t or "")))
+                    for t in batch.column("text").to_pylist()]
+            cells = np.concatenate(sets).view(np.int64)
+            worded = pa.nulls(sum(len(s) > 0 for s in sets), pa.int64())  # one null an item
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(cells), worded])],
+                                             names=["shingle"])
+
+    counts = (items.select("text").mapInArrow(shingles, "shingle long").groupBy("shingle")
+              .agg(F.count(F.lit(1)).alias("n")).where("shingle is null or n > 1").toArrow())
+    held = dict(zip(counts.column("shingle").to_pylist(), counts.column("n").to_pylist()))
+    total = held.pop(None, 0)
+    return total, {s % (1 << 64): n for s, n in held.items()}
+
+
+def compile_benchmark(rows: list[tuple[int, str | None]],
+                      shared: tuple[int, dict[int, int]] | None = None) -> Benchmark:
     """Weights, fingerprints and block index of ``(item_id, text)`` rows; items without words are
-    left out. A shingle weighs the more, the fewer items have it."""
+    left out. A shingle weighs the more, the fewer items have it.
+
+    ``shared`` counts the items of the whole benchmark (see :func:`count_shared`); without it the
+    rows are the whole benchmark.
+    """
     hashed = [(i, word_hashes(t or "")) for i, t in rows]
     hashed = [(i, w) for i, w in hashed if len(w)]
     runs = [shingle_hashes(w) for _, w in hashed]
     sets = [np.unique(r) for r in runs]
-    held = Counter(s for found in sets for s in found.tolist())
-    weights = {s: weight_of(len(sets) / n) for s, n in held.items()}
-    bags = [{s: weights[s] for s in found.tolist()} for found in sets]
+    if shared is None:
+        held = Counter(s for found in sets for s in found.tolist())
+        shared = len(sets), {s: n for s, n in held.items() if n > 1}
+    total, held = shared
+    unseen = weight_of(max(1, total))
+    weights = {s: weight_of(total / n) for s, n in held.items()}
+    bags = [{s: weights.get(s, unseen) for s in found.tolist()} for found in sets]
     prints = np.concatenate([fingerprint(
-        (signs(r) * np.array([weights[s] for s in r.tolist()])[:, None]).sum(0)[None])
+        (signs(r) * np.array([weights.get(s, unseen) for s in r.tolist()])[:, None]).sum(0)[None])
         for r in runs]) if runs else np.zeros(0, np.uint64)
     by_shingle: dict[int, set[int]] = {}
     for (_, w), found in zip(hashed, sets):
@@ -123,7 +152,7 @@ def compile_benchmark(rows: list[tuple[int, str | None]]) -> Benchmark:
         near = blocks[:, b][:, None] ^ masks[None, :]
         index.append([np.flatnonzero((near == v).any(axis=1)) for v in range(256)])
     return Benchmark([i for i, _ in hashed], np.array([len(w) for _, w in hashed], np.int64), bags,
-                     prints, weights, weight_of(max(1, len(sets))),
+                     prints, weights, unseen,
                      np.array(order, np.uint64),
                      [np.array(sorted(by_shingle[s])) for s in order], index)
 
@@ -213,7 +242,8 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, name: str = "matches",
     ``start`` and ``end`` (code points) of the best window.
 
     The benchmark (``item_id``, ``text``) is the stated query set; it is sent to all tasks in blocks
-    of about ``ITEMS_AT_ONCE`` items, each compared with all documents.
+    of about ``ITEMS_AT_ONCE`` items, each compared with all documents. Weights are those of the
+    whole benchmark: with every block go the counts of all shingles that several items have.
 
     Null and empty texts, on either side, match nothing; repeated documents or items match each on
     their own; items of under five words are one shingle; without items nothing matches; an empty
@@ -222,6 +252,7 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, name: str = "matches",
     spark, rows = docs.sparkSession, docs.drop(name)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     passes = max(1, -(-items.count() // ITEMS_AT_ONCE))
+    shared = count_shared(items) if passes > 1 else None
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     kind = ("array<struct<item_id: long, similarity: double, hamming: int, start: int, end: int>>")
     parts = []
@@ -229,7 +260,7 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, name: str = "matches",
         asked = sorted(items.where(block == k).collect(),
                        key=lambda r: (r.item_id is not None, r.item_id, r.text or ""))
         sent = spark.sparkContext.broadcast(
-            compile_benchmark([(r.item_id, r.text) for r in asked]))
+            compile_benchmark([(r.item_id, r.text) for r in asked], shared))
 
         def scan(batches, sent=sent):
             keep_only(_WORDS)

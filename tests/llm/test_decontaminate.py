@@ -74,3 +74,29 @@ def test_rows(spark, make_docs, monkeypatch, at_once):
     assert marked.columns == [*[c for c in df.columns if c != "matches"], "matches"]
     assert D.find_benchmark(make_docs([]), benchmark).collect() == []
     assert D.find_benchmark(df, benchmark.limit(0)).collect() == []
+
+
+def test_passes_change_no_similarity(spark, make_docs, monkeypatch):
+    rng = random.Random(6)
+    common = [prose(rng, 14) for _ in range(3)]
+    items = [(i, prose(rng, 12) + common[i % 3] + prose(rng, 12) + common[(i + 1) % 3])
+             for i in range(12)]
+    benchmark = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in items] + [(12, None), (13, " "), (14, " ".join(items[5][1]))],
+        "item_id long, text string")
+    rows = []
+    for i, words in items:
+        for at in (2, 20, 45, None):
+            edited = list(words)
+            if at is not None:
+                edited[at] = "other"
+            # A passage of other items in place of an own one counts by its global weight.
+            rows.append((i, " ".join(prose(rng, 20) + edited + prose(rng, 20))))
+            rows.append((i, " ".join(edited[:-5] + common[(i + 2) % 3][:5])))
+    df = make_docs(rows)
+    found = {}
+    for at_once in (50_000, 2):
+        monkeypatch.setattr(D, "ITEMS_AT_ONCE", at_once)
+        found[at_once] = sorted(map(tuple, D.find_benchmark(df, benchmark, 0.6).collect()))
+    assert len(found[2]) > 40 and min(r[2] for r in found[2]) < 0.9
+    assert found[2] == found[50_000]
