@@ -5,6 +5,8 @@ windows of an item's length in words get theirs, at every position. Blocks of th
 fingerprints, with all values near them, form an index that finds every item within the radius of
 a window. Candidates count if the weighted Jaccard similarity of their shingles reaches the limit.
 
+An item of under five words is one shingle, looked up among the windows of its number of words.
+
 A window that shares no shingle with any item of its length has similarity 0 with all of them.
 Such windows need no fingerprint, and nearly all windows of a corpus are of this kind.
 """
@@ -29,9 +31,10 @@ from tabwright.llm.encode import Memory, keep_only
 SHINGLE = 5
 #: Least similarity of a match.
 SIMILAR = 0.8
-#: Differing bits of the 64 up to which a window is compared with an item. At similarity 0.8 the
-#: cosine of the weights is 0.89 or more, so 9.6 bits of 64 differ on average (deviation 2.9).
-RADIUS = 19
+#: Differing bits of the 64 up to which a window is compared with an item: all that two bits in
+#: each block are sure to find. At similarity 0.8 and equal weights the cosine is 0.89 or more, so
+#: 9.6 bits of 64 differ on average (deviation 2.9); with unequal weights more may differ.
+RADIUS = 23
 #: Blocks of a fingerprint, 8 bits each.
 BLOCKS = 8
 #: Items handled in one pass over the documents; a larger benchmark takes several passes.
@@ -48,11 +51,11 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
-def shingle_hashes(words: np.ndarray) -> np.ndarray:
-    """Hash of the five words from each position on; a shorter text is one shingle."""
+def shingle_hashes(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
+    """Hash of the ``width`` words from each position on; a shorter text is one shingle."""
     if not len(words):
         return words
-    width = min(SHINGLE, len(words))
+    width = min(width, len(words))
     out = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
         out = out * np.uint64(0xBF58476D1CE4E5B9) + words[k:len(words) - width + 1 + k]
@@ -91,6 +94,7 @@ class Benchmark:
     shingles: np.ndarray          #: all shingles of items, sorted
     owners: list[np.ndarray]      #: sizes of the items that hold each
     index: list[list[np.ndarray]]  #: by block and value: the items near it
+    short: dict[int, dict[int, list[int]]]  #: items of under five words, by words and shingle
 
 
 def weight_of(rarity: float) -> int:
@@ -144,6 +148,10 @@ def compile_benchmark(rows: list[tuple[int, str | None]],
     for (_, w), found in zip(hashed, sets):
         for s in found.tolist():
             by_shingle.setdefault(s, set()).add(len(w))
+    short: dict[int, dict[int, list[int]]] = {}
+    for k, ((_, w), found) in enumerate(zip(hashed, sets)):
+        if len(w) < SHINGLE:
+            short.setdefault(len(w), {}).setdefault(int(found[0]), []).append(k)
     order = sorted(by_shingle)
     blocks = prints.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
     masks = near_bytes(RADIUS // BLOCKS)
@@ -154,7 +162,7 @@ def compile_benchmark(rows: list[tuple[int, str | None]],
     return Benchmark([i for i, _ in hashed], np.array([len(w) for _, w in hashed], np.int64), bags,
                      prints, weights, unseen,
                      np.array(order, np.uint64),
-                     [np.array(sorted(by_shingle[s])) for s in order], index)
+                     [np.array(sorted(by_shingle[s])) for s in order], index, short)
 
 
 def windows_near(hits: np.ndarray, size: int, words: int) -> np.ndarray:
@@ -189,23 +197,34 @@ def candidates(bench: Benchmark, prints: np.ndarray, of_size: np.ndarray) -> tup
     return pairs
 
 
+def short_matches(bench: Benchmark, words: np.ndarray) -> dict[int, tuple]:
+    """First window equal to each item of under five words: its one shingle is there or not."""
+    best = {}
+    for size, items in bench.short.items():
+        if size <= len(words):
+            found = shingle_hashes(words, size)
+            places = np.flatnonzero(np.isin(found, np.array(list(items), np.uint64)))
+            kinds, first = np.unique(found[places], return_index=True)
+            for s, at in zip(kinds.tolist(), places[first].tolist()):
+                best |= {k: (bench.items[k], 1.0, 0, at, at + size) for k in items[s]}
+    return best
+
+
 def matches(bench: Benchmark, text: str | None, similar: float) -> list[tuple]:
     """Best window of each item that a text holds: item, similarity, differing bits, first and
     end word. Ties go to the first window."""
     words = word_hashes(text or "")
     if not len(words) or not len(bench.shingles):
         return []
+    best: dict[int, tuple] = short_matches(bench, words)
     found = shingle_hashes(words)
     at = np.searchsorted(bench.shingles, found)
     at[at == len(bench.shingles)] = 0
     hits = np.flatnonzero(bench.shingles[at] == found)
-    if not len(hits):
-        return []
     by_size: dict[int, list[int]] = {}
     for h in hits.tolist():
         for size in bench.owners[at[h]].tolist():
             by_size.setdefault(size, []).append(h)
-    best: dict[int, tuple] = {}
     for size, places in by_size.items():
         starts = windows_near(np.array(places), size, len(words))
         span = max(1, min(size, len(words)) - min(SHINGLE, len(words), size) + 1)
@@ -246,7 +265,7 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, name: str = "matches",
     whole benchmark: with every block go the counts of all shingles that several items have.
 
     Null and empty texts, on either side, match nothing; repeated documents or items match each on
-    their own; items of under five words are one shingle; without items nothing matches; an empty
+    their own; items of under five words match where they stand word by word; without items nothing matches; an empty
     table gives no rows; a column called ``name`` is replaced.
     """
     spark, rows = docs.sparkSession, docs.drop(name)

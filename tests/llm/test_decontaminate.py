@@ -100,3 +100,31 @@ def test_passes_change_no_similarity(spark, make_docs, monkeypatch):
         found[at_once] = sorted(map(tuple, D.find_benchmark(df, benchmark, 0.6).collect()))
     assert len(found[2]) > 40 and min(r[2] for r in found[2]) < 0.9
     assert found[2] == found[50_000]
+
+
+def test_short_items_are_found_inside_longer_texts():
+    bench = D.compile_benchmark([(1, "Two words"), (2, "one more short item"), (3, "two words!"),
+                                 (4, " ".join(prose(random.Random(1), 30)))])
+    text = "A long text has two, words in it, and Two words again; one more short item."
+    found = D.matches(bench, text, 0.8)
+    assert [(m[0], m[1], m[2]) for m in found] == [(1, 1.0, 0), (2, 1.0, 0), (3, 1.0, 0)]
+    assert [text[slice(*D.source_span(text, *m[3:]))] for m in found] == [
+        "two, words", "one more short item.", "two, words"]
+    assert D.matches(bench, "words two one more short", 0.8) == []
+    assert [m[0] for m in D.matches(bench, "two words", 0.8)] == [1, 3]
+
+
+def test_no_pair_that_reaches_the_limit_is_beyond_the_radius():
+    rng = random.Random(12)
+    pool = [f"pool{i}" for i in range(400)]
+    items = []
+    for i in range(400):  # passages that many items share, so that an edit weighs most
+        start = 20 * rng.randrange(8)
+        items.append((i, " ".join(pool[start:start + 100] + [f"own{i}"])))
+    bench = D.compile_benchmark(items)
+    for i, text in items:
+        words = text.split()
+        words[rng.randrange(100)] = f"other{i}"
+        found = {m[0]: m[1] for m in D.matches(bench, " ".join(words), 0.8)}
+        own = D.similarity(bench, D.shingle_hashes(D.word_hashes(" ".join(words))), i)
+        assert own < 0.8 or i in found
