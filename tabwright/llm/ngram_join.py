@@ -1,10 +1,12 @@
 """N-gram Jaccard join: documents whose five-word shingles overlap by four fifths, and their groups.
 
 Two sets of sizes x >= y link only if they share T >= 4 (x + y) / 9 shingles (a T-occurrence query).
-As in DivideSkip, the inverted lists of a set are divided. Its T - 1 longest lists are never merged:
-two linked sets also share a shingle outside them, that is among the first x - T + 1 in a common
-order that begins with rare shingles. Only these short lists are built and merged. The long ones are
-probed: the sorted shingles of one set are looked up in the other's by binary search.
+The inverted lists of a set are divided as in DivideSkip, with its T - 1 longest lists as the long
+ones: two linked sets also share a shingle outside them, that is among the first x - T + 1 in a
+common order that begins with rare shingles. With so many long lists one common short list is
+enough, so DivideSkip comes down to a prefix filter: no occurrences are counted, the short lists are
+joined with themselves, and each pair left is verified by looking up all sorted shingles of one set
+in the other's by binary search. The long lists are not built.
 
 - Equal sets are one *node* (the smallest ``doc_id`` that has it), so copies cost nothing further.
 - The order puts the most frequent shingles last (a bounded list of counts taken over all texts).
