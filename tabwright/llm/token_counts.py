@@ -4,7 +4,9 @@ White space ends a word, and no token of a word-level BPE file reaches over whit
 tokenizer is compiled to a transducer with two kinds of states, *outside* a word and *inside* one
 (which remembers the word read so far). The transition that closes a word emits the number of its
 tokens. These numbers are the annotation of the transducer: for the vocabulary's own words they
-are 1 from the start, every other word is annotated when it is first met, from the merges.
+are 1 from the start; every other word is annotated when it is first met, by the tokenizer library,
+which encodes it. A text that holds white space on which the library may differ (``UNSURE_WHITE``)
+does not pass the transducer: the library encodes it whole.
 
 A chunk of text acts on the states as a map. Its form is short: the characters before the first
 white space (they lengthen the open word), the tokens emitted in between, and the characters after
