@@ -58,32 +58,26 @@ def window_hashes(words: Column) -> Column:
 def covered_words(windows: Column) -> Column:
     """Words covered by the windows whose hash comes twice or more.
 
-    Each hash is joined with its place, in the low bits of one long. Sorted, equal hashes are
-    neighbours; then every repeated window adds the words from the end of the one before.
+    Each whole hash is paired with its place. Sorted, equal hashes are neighbours; then every
+    repeated window adds the words from the end of the one before.
     """
-    bits = F.length(F.bin(F.size(windows)))
-    mask = F.call_function("shiftleft", F.lit(-1).cast("long"), bits)
-
-    def of_mask(mask):
-        keys = F.sort_array(F.transform(
-            windows, lambda h, i: h.bitwiseAND(mask).bitwiseOR(i.cast("long"))))
-
-        def of_keys(keys):
-            def same(key, other):
-                return F.coalesce(key.bitwiseXOR(other).bitwiseAND(mask) == 0, F.lit(False))
-
-            repeated = F.filter(keys, lambda k, i: same(k, F.get(keys, i - 1))
-                                | same(k, F.get(keys, i + 1)))
-            places = F.sort_array(F.transform(repeated, lambda k: k.bitwiseAND(F.bitwise_not(mask))))
-            return F.aggregate(
-                places, F.struct(F.lit(0).cast("long").alias("n"),
-                                 F.lit(-WINDOW).cast("long").alias("last")),
-                lambda a, p: F.struct((a["n"] + F.least(F.lit(WINDOW).cast("long"), p - a["last"]))
-                                      .alias("n"), p.alias("last")), lambda a: a["n"])
-
-        return let(keys, of_keys)
-
-    return let(mask, of_mask)
+    keys = F.sort_array(F.transform(
+        windows, lambda h, i: F.struct(h.alias("hash"), i.cast("long").alias("place"))))
+
+    def of_keys(keys):
+        def same(key, other):
+            return F.coalesce(key["hash"] == other["hash"], F.lit(False))
+
+        repeated = F.filter(keys, lambda k, i: same(k, F.get(keys, i - 1))
+                            | same(k, F.get(keys, i + 1)))
+        places = F.sort_array(F.transform(repeated, lambda k: k["place"]))
+        return F.aggregate(
+            places, F.struct(F.lit(0).cast("long").alias("n"),
+                             F.lit(-WINDOW).cast("long").alias("last")),
+            lambda a, p: F.struct((a["n"] + F.least(F.lit(WINDOW).cast("long"), p - a["last"]))
+                                  .alias("n"), p.alias("last")), lambda a: a["n"])
+
+    return let(keys, of_keys)
 
 
 def repeated_words(words: Column) -> Column:

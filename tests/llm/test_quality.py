@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter
 
-from tabwright.llm.quality import MEASURES, RULES, judge, ranked_rules
+from pyspark.sql import functions as F
+
+from tabwright.llm.quality import MEASURES, RULES, covered_words, judge, ranked_rules
 
 
 def brute(text):
@@ -60,3 +62,9 @@ def test_order_changes_no_verdict(make_docs):
 
 def test_empty_table(make_docs):
     assert judge(make_docs([])).collect() == []
+
+
+def test_windows_are_told_apart_by_all_bits_of_their_hashes(spark):
+    rows = [([8, 9, 10, 11, 1000],), ([8, 9, 8, -1, -2],)]
+    found = spark.createDataFrame(rows, "w array<long>").select(covered_words(F.col("w"))).collect()
+    assert [r[0] for r in found] == [0, 10]
