@@ -74,9 +74,12 @@ class Memory(dict):
 
     def __missing__(self, key):
         value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(self) < (self.most or MEMORY_PIECES) and len(key) <= MEMORY_CHARS:
             self[key] = value
-        return value
 
 
 def keep_only(*memories: Memory) -> None:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tabwright.functions.scratch import materialise
-from tabwright.llm import id_store
+from tabwright.llm import id_store, merkle
 from tabwright.llm.chat import chains, format_trees, loss_text, read_back
 from tabwright.llm.common import table
 from tabwright.llm.decontaminate import find_benchmark
@@ -17,6 +17,7 @@ from tabwright.llm.quality import judge
 from tabwright.llm.sharding import shard_documents
 from tabwright.llm.token_counts import token_counts
 from tabwright.llm.toxicity import THRESHOLD, held_out, learn, score
+from tabwright.llm.word_bpe import round_trip
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -103,9 +104,43 @@ def op10_packing(spark, sf_dir):
         "ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_bpe(spark, sf_dir):
+    rows = round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = merkle.leaf_digest([*map(F.col, columns[:-1]), F.translate("text", "\n", "")])
+    leaves = docs.select(*columns, merkle.leaf_digest(list(map(F.col, columns))).alias("leaf")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", "leaf",
+        F.when(tampered & F.contains("text", F.lit("\n")), changed).otherwise(F.col("leaf"))
+        .alias("claimed"))
+    manifest = merkle.build(materialise(leaves, "merkle-hashed"))
+    rows = merkle.verify(merkle.prove(manifest), manifest.groups, "claimed")
+    return rows.select(
+        "doc_id", *[merkle.hex_of(c).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.hex_of("proof"), 256).alias("proof_sha256"),
+        merkle.hex_of("folded_root").alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_token_counts, op3_quality_rules, op4_toxicity, op5_id_store, op6_chat_formatting, op7_pii,
-    op8_decontamination, op9_sharding, op10_packing)}
+    op8_decontamination, op9_sharding, op10_packing, op11_bpe, op12_merkle_manifest)}
+
+#: crc32 of an ASCII text ``v`` as another engine can write it: bit by bit over the reversed polynomial.
+CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(
+            range(1, length({v}) + 1), lambda i: ascii(substr({v}, i, 1))::BIGINT)),
+        lambda c, b: list_reduce(
+            list_prepend(xor(c, b), range(8)),
+            lambda x, k: xor(x >> 1, (x & 1) * 3988292384::BIGINT))))"""
 
 #: Same white space, rules and escapes as the operators, written out for another engine.
 SQL = {
@@ -134,6 +169,67 @@ SELECT texts.doc_id, coalesce(max(sizes.n), 0)::BIGINT AS n_shingles,
        coalesce(min(reach.component_id), texts.doc_id) AS component_id
 FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN reach USING (doc_id)
 GROUP BY texts.doc_id""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE marked AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id) AS row,
+           """ + CRC32.format(v="doc_id::VARCHAR") + r""" % 2 = 0 AS tampered
+    FROM documents),
+hashed AS (
+    SELECT row, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           CASE WHEN tampered THEN sha256(head || coalesce(
+               strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+           ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claimed
+    FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                    || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-')
+                    || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+          FROM marked)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+           count(*) OVER (PARTITION BY source) AS size FROM hashed),
+nodes AS (
+    SELECT source, 0 AS level, idx, size, leaf AS digest FROM placed
+    UNION ALL
+    SELECT source, level + 1, idx // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM nodes WHERE size > 1 GROUP BY source, level, idx // 3, size),
+tops AS (
+    SELECT 0 AS level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx,
+           count(*) OVER () AS size, digest FROM nodes WHERE size = 1
+    UNION ALL
+    SELECT level + 1, idx // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM tops WHERE size > 1 GROUP BY level, idx // 3, size),
+ranks AS (
+    SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+    FROM nodes WHERE size = 1),
+every AS (
+    SELECT tree, level, idx, size, digest FROM nodes
+    JOIN ranks ON ranks.source IS NOT DISTINCT FROM nodes.source
+    UNION ALL SELECT -1, level, idx, size, digest FROM tops),
+beside AS (
+    SELECT a.tree, a.level, a.idx, a.size,
+           coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+           coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+    FROM every a JOIN every b
+      ON b.tree = a.tree AND b.level = a.level AND b.idx // 3 = a.idx // 3
+    WHERE a.size > 1 GROUP BY a.tree, a.level, a.idx, a.size),
+folds AS (
+    SELECT row, ranks.tree AS own, ranks.tree, 0 AS level, idx, size, claimed AS digest,
+           '' AS proof, false AS done
+    FROM placed JOIN ranks ON ranks.source IS NOT DISTINCT FROM placed.source
+    UNION ALL
+    SELECT row, own, CASE WHEN f.size > 1 THEN f.tree ELSE -1 END,
+           CASE WHEN f.size > 1 THEN f.level + 1 ELSE 0 END,
+           CASE WHEN f.size > 1 THEN f.idx // 3 ELSE own END,
+           CASE WHEN f.size > 1 THEN (f.size + 2) // 3 ELSE (SELECT count(*) FROM ranks) END,
+           CASE WHEN f.size > 1 THEN sha256(l || digest || r) ELSE digest END,
+           proof || coalesce(l || r, ''), f.size = 1 AND f.tree = -1
+    FROM folds f LEFT JOIN beside b ON b.tree = f.tree AND b.level = f.level AND b.idx = f.idx
+    WHERE NOT done)
+SELECT placed.doc_id, placed.leaf, ranks.subroot, root.digest AS root, sha256(folds.proof) AS proof_sha256,
+       folds.digest AS folded_root, folds.digest = root.digest AS verified
+FROM placed JOIN ranks ON ranks.source IS NOT DISTINCT FROM placed.source
+JOIN folds ON folds.row = placed.row AND folds.done
+JOIN (SELECT digest FROM tops WHERE size = 1) root ON true""",
     "op3_quality_rules": r"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
