@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tabwright.functions.scratch import materialise
-from tabwright.llm import id_store, merkle
+from tabwright.llm import id_store, merkle, repair
 from tabwright.llm.chat import chains, format_trees, loss_text, read_back
 from tabwright.llm.common import table
 from tabwright.llm.decontaminate import find_benchmark
@@ -130,9 +130,36 @@ def op12_merkle_manifest(spark, sf_dir):
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def damaged(talks):
+    """Rows dropped, emptied, cut, repeated or given to the user, by their hash."""
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    rows = talks.select(
+        "conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")],
+        (F.crc32(F.concat_ws(":", *columns).cast("binary")) % 20).alias("harm")).where("harm <> 0")
+    return rows.select(
+        "conv_id", "turn",
+        F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("harm") == 3, 2).otherwise(1))).alias("copy"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    talks = table(spark, sf_dir, "conversations")
+    done = repair.repair(damaged(talks))
+    found = repair.matched(done.summary, repair.digests(done.rows), "conv_id", how="left")
+    every = talks.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    return repair.matched(every, found, "conv_id", how="left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (
+            "gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_token_counts, op3_quality_rules, op4_toxicity, op5_id_store, op6_chat_formatting, op7_pii,
-    op8_decontamination, op9_sharding, op10_packing, op11_bpe, op12_merkle_manifest)}
+    op8_decontamination, op9_sharding, op10_packing, op11_bpe, op12_merkle_manifest,
+    op13_conversation_repair)}
 
 #: crc32 of an ASCII text ``v`` as another engine can write it: bit by bit over the reversed polynomial.
 CRC32 = """xor(4294967295, list_reduce(
@@ -230,6 +257,79 @@ SELECT placed.doc_id, placed.leaf, ranks.subroot, root.digest AS root, sha256(fo
 FROM placed JOIN ranks ON ranks.source IS NOT DISTINCT FROM placed.source
 JOIN folds ON folds.row = placed.row AND folds.done
 JOIN (SELECT digest FROM tops WHERE size = 1) root ON true""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE marked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           """ + CRC32.format(v="hashed") + r""" % 20 AS harm
+    FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS hashed
+          FROM conversations)),
+numbers AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+harmed AS (
+    SELECT conv, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+           ELSE text END AS text
+    FROM marked JOIN numbers ON numbers.conv_id IS NOT DISTINCT FROM marked.conv_id
+    JOIN range(2) AS copies(copy) ON copy = 0 OR harm = 3 WHERE harm <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM harmed),
+found AS (
+    SELECT conv, turn, role, text, place,
+           CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY place) > 1
+                THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated'
+                ELSE '' END AS fault,
+           left(lag(role) OVER (PARTITION BY conv ORDER BY place), 1) || left(role, 1) AS pair
+    FROM placed),
+counts AS (
+    SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(place) AS places
+    FROM found GROUP BY conv),
+inserts(here, there, cost, letters, lines) AS (VALUES
+    ('0', '0', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+    ('0', 'u', 5, 'I', 'user:' || chr(10)), ('s', 'u', 5, 'I', 'user:' || chr(10)),
+    ('a', 'u', 5, 'I', 'user:' || chr(10)), ('u', 'a', 5, 'I', 'assistant:' || chr(10)),
+    ('0', 'a', 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    ('s', 'a', 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+edits AS (
+    SELECT conv, place, here, there, cost, letter, line FROM (
+        SELECT *, unnest([
+            {'there': here, 'cost': 2, 'letter': 'D', 'line': ''},
+            {'there': CASE WHEN here || left(role, 1) IN ('0s', '0u', 'su', 'au', 'ua')
+                           THEN left(role, 1) END,
+             'cost': CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'letter': 'K',
+             'line': role || ':' || text || chr(10)},
+            {'there': CASE here WHEN 'u' THEN 'a' ELSE 'u' END,
+             'cost': CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'letter': 'R',
+             'line': CASE here WHEN 'u' THEN 'assistant:' ELSE 'user:' END || text || chr(10)}],
+            recursive := true)
+        FROM found, (VALUES ('0'), ('s'), ('u'), ('a')) AS states(here))
+    WHERE letter = 'D' OR there IS NOT NULL AND fault NOT IN ('blank', 'duplicate')),
+paths AS (
+    SELECT conv, 0::BIGINT AS place, '0' AS state,
+           {'cost': 0, 'audit': '', 'lines': ''} AS best FROM counts
+    UNION ALL
+    SELECT p.conv, p.place + 1, e.there, min({
+        'cost': p.best.cost + i.cost + e.cost, 'audit': p.best.audit || i.letters || e.letter,
+        'lines': p.best.lines || i.lines || e.line})
+    FROM paths p JOIN inserts i ON i.here = p.state
+    JOIN edits e ON e.conv = p.conv AND e.place = p.place + 1 AND e.here = i.there
+    GROUP BY p.conv, p.place, e.there),
+ends AS (
+    SELECT p.conv, min({'cost': p.best.cost + i.cost, 'audit': p.best.audit || i.letters,
+                        'lines': p.best.lines || i.lines}) AS best
+    FROM paths p JOIN counts ON counts.conv = p.conv AND counts.places = p.place
+    JOIN inserts i ON i.here = p.state AND i.there IN ('0', 'a') GROUP BY p.conv)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit,
+       sha256(coalesce(left(best.lines, greatest(length(best.lines) - 1, 0)), '')) AS repaired_sha256
+FROM numbers LEFT JOIN counts USING (conv) LEFT JOIN ends USING (conv)""",
     "op3_quality_rules": r"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
