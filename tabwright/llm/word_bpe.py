@@ -20,6 +20,8 @@ import heapq
 import json
 import os
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -29,14 +31,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import slices, with_field
-from tabwright.llm.encode import BYTE_CHARS, Memory, keep_only
+from tabwright.llm.encode import BYTE_CHARS, LETTERS, NUMBERS, Memory, keep_only
+from tabwright.llm.encode import WHITE as SPACE
 
 #: White space on which every library agrees; a word between it may still hold rarer kinds.
 WHITE = re.compile("[ \t-\r]+")
-#: Fixed value: the pre-tokeniser's pattern, as it cuts lower-case ASCII words.
-ASCII_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\sa-z0-9]+")
-#: Pairs that are checked together.
-PAIRS_AT_ONCE = 4096
+#: White space at which ``str.split`` cuts as well, and some library does not.
+RARE_WHITE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Words of visible characters up to Latin Extended-B; others are cut by the library's own
+#: normaliser and pre-tokeniser.
+LATIN = re.compile("[!-~\xa1-\xac\xae-\u024f]*")
+#: Fixed value: the pre-tokeniser's pattern, over the plain classes.
+PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{SPACE}{LETTERS}{NUMBERS}]+")
+#: Pairs that are checked together; characters by which the longest possible token is looked up; and
+#: symbols up to which a plain list finds the next merge faster than a heap.
+PAIRS_AT_ONCE, OPENING, SHORT = 4096, 3, 40
 NEVER = np.iinfo(np.int64).max
 
 
@@ -87,7 +96,12 @@ class WordBpe:
         for a, b, m, fits in zip(left.tolist(), right.tolist(), made.tolist(), own.tolist()):
             reachable[m] = fits and reachable[a] and reachable[b]
         self.proposed = {name: i for name, i in self.vocab.items() if reachable[i]}
-        self.longest = max(map(len, self.proposed))
+        #: Characters of the longest token that begins so, less the mark of a word's end.
+        self.reach: dict[str, int] = {}
+        for name in self.proposed:
+            name = name.removesuffix(self.end)
+            for start in {name[:k] for k in range(1, OPENING + 1)}:
+                self.reach[start] = max(self.reach.get(start, 0), len(name))
 
     def spine(self, child: np.ndarray, made: np.ndarray, rank_of: np.ndarray):
         """For every token its outermost nodes, itself first (-1 where there are no more), and the
@@ -122,14 +136,16 @@ class WordBpe:
 
     def propose(self, piece: str) -> list[int] | None:
         """Longest tokens from the left; None if some place has none."""
-        found, at = [], 0
-        while at < len(piece):
+        found, at, size = [], 0, len(piece)
+        while at < size:
+            reach = self.reach.get(piece[at:at + OPENING], OPENING - 1)
             token = None
-            if len(piece) - at <= self.longest:
+            if at + reach >= size:
                 token = self.proposed.get(piece[at:] + self.end)
                 if token is not None:
-                    return [*found, token]
-            for end in range(min(len(piece) - 1, at + self.longest), at, -1):
+                    found.append(token)
+                    return found
+            for end in range(min(size - 1, at + reach), at, -1):
                 token = self.proposed.get(piece[at:end])
                 if token is not None:
                     break
@@ -143,6 +159,8 @@ class WordBpe:
         """Exact merging: the pair of the lowest rank first, of these the leftmost."""
         symbols = [*piece[:-1], piece[-1] + self.end]
         ids = [self.vocab[s] for s in symbols if s in self.vocab]
+        if len(ids) <= SHORT:
+            return self.merge_short(ids)
         after = [*range(1, len(ids)), -1]
         before = list(range(-1, len(ids) - 1))
         heap: list[tuple[int, int, int, int]] = []
@@ -168,6 +186,24 @@ class WordBpe:
             offer(at)
         return [i for i in ids if i >= 0]
 
+    def merge_short(self, ids: list[int]) -> list[int]:
+        """The same for few symbols: the least of a list of the pairs' ranks."""
+        merged, size = self.merged, self.size
+        none = (NEVER, -1)
+        pairs = [merged.get(a * size + b, none) for a, b in zip(ids, ids[1:])]
+        while pairs:
+            best = min(pairs)
+            if best[1] < 0:
+                break
+            at = pairs.index(best)
+            ids[at:at + 2] = [best[1]]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = merged.get(best[1] * size + ids[at + 1], none)
+            if at:
+                pairs[at - 1] = merged.get(ids[at - 1] * size + best[1], none)
+        return ids
+
     def encode_pieces(self, pieces: Iterable[str]) -> dict[str, list[int]]:
         """Ids of pre-tokenised pieces (bytes written as characters)."""
         out: dict[str, list[int]] = {}
@@ -194,33 +230,54 @@ class WordBpe:
 
     def pieces_of(self, word: str) -> list[str | int]:
         """Pieces of a word without plain white space; special strings in it are their ids."""
+        if "<" not in word and self.simple(word):
+            return self.latin_pieces(word)
         out: list[str | int] = []
         for k, part in enumerate(self.specials.split(word)):
             if k % 2:
                 out.append(self.special_ids[part])
-            elif part.isascii() and part.isprintable():
-                out += ASCII_PIECE.findall(part.lower())
-            elif part:
+            elif self.simple(part):
+                out += self.latin_pieces(part)
+            else:
                 out += [p for p, _ in self.cut(self.normalise(part))]
         return out
 
+    def simple(self, word: str) -> bool:
+        """Whether the word and its small form are of Latin characters, none of them decomposed."""
+        return word.isascii() and word.isprintable() or (
+            LATIN.fullmatch(word) is not None and LATIN.fullmatch(word.lower()) is not None
+            and unicodedata.is_normalized("NFC", word))
+
+    def latin_pieces(self, word: str) -> list[str]:
+        word = word.lower()
+        if word.isalpha() and word.isascii():
+            return [word]
+        found = PIECE.findall(word)
+        if word.isascii():
+            return found
+        return [p.encode().decode("latin-1").translate(BYTE_CHARS) for p in found]
+
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of words, all verified together."""
         cut = {word: self.pieces_of(word) for word in words}
         ids = self.encode_pieces({p for parts in cut.values() for p in parts
                                   if not isinstance(p, int)})
-        return {word: np.array([i for p in parts
-                                for i in ([p] if isinstance(p, int) else ids[p])], "<i4").tobytes()
-                for word, parts in cut.items()}
+        return {word: array("i", [i for p in parts for i in (
+            (p,) if isinstance(p, int) else ids[p])]).tobytes() for word, parts in cut.items()}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts; words that no earlier text held are verified in one go."""
-        split = [[w for w in WHITE.split(t or "") if w] for t in texts]
-        known = self.words
-        fresh = self.encode_words({w for words in split for w in words if w not in known})
+        known = self.words.get
+        split = [t.split() if not RARE_WHITE.search(t) else [w for w in WHITE.split(t) if w]
+                 for t in (t or "" for t in texts)]
+        found = [list(map(known, words)) for words in split]
+        fresh = self.encode_words({w for words, ids in zip(split, found) if None in ids
+                                   for w, i in zip(words, ids) if i is None})
         for word, ids in fresh.items():
-            known.keep(word, ids)
-        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
+            self.words.keep(word, ids)
+        return [b"".join(ids) if None not in ids else b"".join(
+            [fresh[w] if i is None else i for w, i in zip(words, ids)])
+            for words, ids in zip(split, found)]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Texts of lists of ids: the tokens' names with a blank between, as a file without a decoder
