@@ -80,10 +80,11 @@ class CountTransducer:
 
     def annotate(self, word: str) -> int:
         """Tokens of a word, which holds no white space."""
-        if (not PLAIN_WORD.fullmatch(word) or not unicodedata.is_normalized("NFC", word)
+        lower = word.replace("Σ", "σ").lower()  # the file knows no final sigma
+        if (not PLAIN_WORD.fullmatch(word) or not PLAIN_WORD.fullmatch(lower)
+                or not unicodedata.is_normalized("NFC", word)
                 or any(s in word for s in self.specials)):
             return self.whole(word)
-        lower = word.replace("Σ", "σ").lower()  # the file knows no final sigma
         return sum(map(self.pieces.__getitem__, PIECE.findall(lower)))
 
     def chunk_map(self, chunk: str) -> ChunkMap:

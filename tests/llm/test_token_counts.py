@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tabwright.llm.encode import PLAIN_RANGES
 from tabwright.llm.token_counts import CountTransducer, token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +33,15 @@ def test_counts_as_the_library(transducer, library, chunk):
         assert len(prefixes) in (0, max(0, -(-len(text) // chunk) - 1))
 
 
+def test_words_of_all_plain_characters(transducer):
+    plain = [chr(c) for low, high in PLAIN_RANGES[:5] for c in range(low, high + 1) if c != 0x20]
+    rng = random.Random(6)
+    words = [w for c in plain for w in (c, c + "a", "b" + c, c + "Ə", c + c, c + "7")]
+    words += ["".join(rng.choices(plain, k=rng.randrange(2, 10))) for _ in range(10_000)]
+    for word in words:
+        assert transducer.annotate(word) == transducer.whole(word), word
+
+
 def test_composition_is_associative(transducer):
     maps = [transducer.chunk_map(c) for c in ("", "ab", " ", "ab c", " d e ", "f'", "s g")]
     compose = transducer.compose
