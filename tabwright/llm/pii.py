@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -147,7 +148,9 @@ class Rewritten:
     def __init__(self, text: str):
         self.text = text
         self.starts = self.ends = range(0)
+        #: Disjoint rewritten spans in order, and their ends.
         self.changed: list[tuple[int, int]] = []
+        self.changed_ends: list[int] = []
         self.same = True
 
     def spans(self) -> tuple[list[int], list[int]]:
@@ -187,10 +190,12 @@ class Rewritten:
                 changed.append((a + moved[m][2], b + moved[m][2]))
         self.text, self.starts, self.ends = "".join(text), new_starts, new_ends
         self.changed, self.same = sorted(changed), False
+        self.changed_ends = [b for _, b in self.changed]
 
     def touched(self, start: int, end: int) -> bool:
         """Whether the span holds a rewritten character (or a place where one vanished)."""
-        return any(a < end and b > start or a == b and start < a < end for a, b in self.changed)
+        at = bisect_right(self.changed_ends, start)
+        return at < len(self.changed) and self.changed[at][0] < end
 
 
 def alike_edits(text: str) -> list[tuple[int, int, str]]:
@@ -305,7 +310,8 @@ def find_personal_data(docs: DataFrame, found: str = "found",
     kind and start, and the column ``clean``, the text with them replaced.
 
     Kinds are email, ip, card and phone. A null text has no spans and stays null; rows count each on
-    its own; columns of these two names are replaced; an empty table gives no rows.
+    its own; columns of these two names are replaced; an empty table gives no rows. A long text takes
+    time in proportion, whatever letters it has, and some 100 bytes of memory a character.
     """
     rows = docs.drop(found, clean)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -95,6 +96,70 @@ def test_hints_never_change_the_spans(monkeypatch):
     assert gated == [all_spans(t) for t in texts]
 
 
+def disguised(rng, address):
+    """An address written otherwise, by rules that undo each other's order."""
+    kind = rng.randrange(5)
+    if kind == 0:
+        return address.replace("@", rng.choice((" (at) ", "[at]", " <AT> ", "&#64;", " arroba ")))
+    if kind == 1:
+        name, host = address.split("@")
+        return f"{name} at {host.replace('.', rng.choice((' dot ', ' punkt ', chr(9) + 'punto ')))}"
+    if kind == 2:
+        swaps = dict(zip("aeopcx", "аеорсх"))
+        place = rng.choice([i for i, c in enumerate(address) if c in swaps])
+        return address[:place] + swaps[address[place]] + address[place + 1:]
+    if kind == 3:
+        place = rng.randrange(1, len(address) - 1)
+        return address[:place] + "\u200b" + address[place:]
+    return "".join(chr(ord(c) + 0xFEE0) for c in address)
+
+
+def test_added_spans_are_those_put_into_the_text():
+    rng = random.Random(12)
+    words = ["река", "λόγος", "Straße", "und", "the", "mot", "palabra,", "fin.", "語"]
+    names = ["anna", "peter.cox", "oskar"]
+    hosts = ["example.com", "ejemplo.org", "beispiel.de"]
+    for _ in range(3000):
+        text, wanted = "", []
+        for _ in range(rng.randrange(1, 6)):
+            text += " ".join(rng.choices(words, k=rng.randrange(1, 5))) + " — "
+            put = disguised(rng, f"{rng.choice(names)}@{rng.choice(hosts)}")
+            wanted.append(("email", len(text), len(text) + len(put)))
+            text += put + " — "
+        found = all_spans(text)
+        assert set(wanted) <= {s[:3] for s in found}, repr(text)
+        # Beside them there are only the plain parts of addresses, which stay.
+        for kind, a, b, plain in found:
+            assert (kind, a, b) in wanted or plain and any(x <= a and b <= y for _, x, y in wanted)
+
+
+def test_touched_as_a_scan_of_all_changes():
+    rng = random.Random(3)
+    for _ in range(300):
+        view, size = pii.Rewritten("x" * 30), 30
+        for _ in range(3):
+            cuts = sorted(rng.sample(range(size), 6))
+            view.rewrite([(a, b, "y" * rng.randrange(3)) for a, b in zip(cuts[::2], cuts[1::2])])
+            size = len(view.text)
+            if size < 8:
+                break
+        for a in range(size):
+            for b in range(a + 1, size + 1):
+                assert view.touched(a, b) == any(
+                    x < b and y > a or x == y and a < x < b for x, y in view.changed)
+
+
+@pytest.mark.parametrize("base", [
+    "Привет, это обычное письмо. Пишите на ivan@example.com или olga (at) example (dot) org. ",
+    "Γειά σου, ένα γράμμα: nikos@example.gr και maria [at] example [dot] com. "])
+def test_long_texts_in_other_alphabets(base):
+    started = time.process_time()
+    text = base * (1_000_000 // len(base))
+    found = all_spans(text)
+    assert time.process_time() - started < 15  # some 3 s; 300 s where time grows with the square
+    assert len([s for s in found if not s[3]]) >= 1_000_000 // len(base)
+
+
 def test_rows(make_docs):
     long = "word " * 50_000 + "a@b.com"
     rows = [(1, "mail a@b.com or c (at) d (dot) org"), (1, None), (2, ""), (None, long),
