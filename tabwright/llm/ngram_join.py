@@ -1,25 +1,29 @@
 """N-gram Jaccard join: documents whose five-word shingles overlap by four fifths, and their groups.
 
-Two sets of sizes x >= y link only if they share T >= 4 (x + y) / 9 shingles (a T-occurrence query).
-The inverted lists of a set are divided as in DivideSkip, with its T - 1 longest lists as the long
-ones: two linked sets also share a shingle outside them, that is among the first x - T + 1 in a
-common order that begins with rare shingles. With so many long lists one common short list is
-enough, so DivideSkip comes down to a prefix filter: no occurrences are counted, the short lists are
-joined with themselves, and each pair left is verified by looking up all sorted shingles of one set
-in the other's by binary search. The long lists are not built.
-
+Two sets of sizes x >= y link only if they share T = 4 (x + y) / 9 shingles: for every set a
+T-occurrence query over inverted lists, answered as DivideSkip does. Shingles have one common order
+that begins with rare ones; the L longest lists of a set (LONG of its size) are not merged.
+
+- *Short lists.* At most L of the shared shingles are missing from the short lists of either set, so a
+  partner occurs in T - L of the short lists of the larger set or more. Every list tells each of its
+  members the smaller ones in it, the parts of one member are merged by a heap, and partners that
+  occur often enough are kept, each once.
+- *Long lists.* For these few the whole sets are compared by binary search of one in the other, which
+  probes the long lists and is exact; before, bitmaps of the sets rule out pairs without reading them.
 - Equal sets are one *node* (the smallest ``doc_id`` that has it), so copies cost nothing further.
-- The order puts the most frequent shingles last (a bounded list of counts taken over all texts).
-  It decides how long the lists are, never which links are found.
-- A bitmap of each set bounds the overlap of a pair from above; pairs that it rules out are not
-  looked up.
-- A first round compares each list's members with one of them. Members of one group are
-  connected then, and a second round compares all others; groups of very many near copies
-  are so found without all their pairs. Pairs within a group are not needed for its members.
+- The order comes from a bounded list of counts taken over all texts. It decides how long the lists
+  are, never which links are found.
+- A first round compares each list's members with one of them. Members of one group are connected
+  then, and only lists that still hold several groups are merged; pairs within a group are not needed.
+- A list of more than BLOCK members is cut into blocks, and pairs of blocks are merged apart.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.scratch import materialise
-from tabwright.llm.common import discard, slices
+from tabwright.llm.common import discard, part_count, slices
 from tabwright.llm.encode import Memory, keep_only
 
 WORDS = 5
@@ -35,6 +39,12 @@ WORDS = 5
 FREQUENT, LEAST_COUNT = 1 << 18, 16
 #: Shingles of distinct sets that a task counts together.
 COUNTED_TOGETHER = 2_000_000
+#: Share of a set's size that its long lists have; four fifths would leave one occurrence to ask for.
+LONG = 0.75
+#: Members of a list that are merged at a time, and up to which plain loops are faster than numpy.
+BLOCK, FEW = 1 << 16, 32
+#: Members that one row tells of.
+TOLD = 1 << 10
 #: Bits at most of the bitmap of documents whose sets are looked up (sent to all tasks).
 LOOKUP_BITS = 1 << 27
 
@@ -63,6 +73,11 @@ def needed(x, y):
     return -(-4 * (x + y) // 9)
 
 
+def long_lists(size: int, share: float) -> int:
+    """Number of the longest lists that a set does not merge (always under ``needed``)."""
+    return int(share * size)
+
+
 def bitmap(found: np.ndarray) -> bytes:
     """Parity of the shingles that fall on each of some 2 to 4 bits a shingle."""
     bits = max(64, 1 << int(2 * len(found) - 1).bit_length())
@@ -70,12 +85,6 @@ def bitmap(found: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def small_bitmap(found: np.ndarray) -> np.ndarray:
-    """Parity of the shingles that fall on each of 256 bits, as four longs."""
-    at = ((found >> np.uint64(41)) & np.uint64(255)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=256) & 1).astype(np.uint8)).view("<i8")
-
-
 def may_link(a: bytes, size_a: int, b: bytes, size_b: int) -> bool:
     """False only if too few shingles can be shared: every bit in which the two parities differ
     stands for at least one shingle that is in one set only."""
@@ -151,14 +160,15 @@ def frequent_shingles(described_rows: DataFrame) -> tuple[np.ndarray, np.ndarray
 
 
 def short_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Of every set: size, bitmap, name and the shingles of its short lists in the common order."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+    """Of every set: size, bitmap, name and the shingles of its short lists, rare ones first, each
+    with the number of blocks that its list is cut into."""
+    sent, block, share = docs.sparkSession.sparkContext.broadcast(frequent), BLOCK, LONG
 
     def take(batches):
         keep_only(_WORDS)
         kinds, counts = sent.value
         for batch in slices(batches):
-            sizes, names, maps, small, heads = [], [], [], [], []
+            sizes, names, maps, heads, cuts = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text)
                 n = len(found)
@@ -167,32 +177,37 @@ def short_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
                     at = np.searchsorted(kinds, found)
                     at[at == len(kinds)] = 0
                     rank = np.where(kinds[at] == found, counts[at], 0)
-                keep = n + 4 * n // -5 + 1  # n less four fifths, rounded up, and one
-                heads.append(found[np.lexsort((found, rank))[:keep]].view(np.int64) if n else [])
+                order = np.lexsort((found, rank))[:n - long_lists(n, share)]
+                heads.append(found[order].view(np.int64))
+                cuts.append((rank[order] // block + 1).astype(np.int32) if rank.any() else None)
                 sizes.append(n)
                 maps.append(bitmap(found) if n else None)
-                small.append(small_bitmap(found))
                 names.append(xxhash.xxh3_128_digest(found.tobytes()) if n else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(names, pa.binary()),
-                 pa.array(maps, pa.binary()), pa.array(small, pa.list_(pa.int64())),
-                 pa.array(heads, pa.list_(pa.int64()))],
-                names=["node", "size", "set_name", "bits", "small", "heads"])
+                 pa.array(maps, pa.binary()), pa.array(heads, pa.list_(pa.int64())),
+                 pa.array(cuts, pa.list_(pa.int32()))],
+                names=["node", "size", "set_name", "bits", "heads", "cuts"])
 
     return docs.mapInArrow(take, "node long, size int, set_name binary, bits binary, "
-                                 "small array<long>, heads array<long>")
+                                 "heads array<long>, cuts array<int>")
 
 
-def listed(heads: DataFrame) -> DataFrame:
-    """Inverted lists with two members or more: ``shingle``, ``node``, ``size``, ``place`` in the
-    node's order, and ``first``, the smallest node of about the same size in the list."""
-    entries = heads.select("node", "size", F.posexplode("heads").alias("place", "shingle"))
+def listed(sets: DataFrame) -> DataFrame:
+    """Inverted lists with two members or more: ``shingle``, ``node``, ``size``, ``cuts`` and ``block``
+    (number of blocks, and which the member is in), and ``first``, the smallest node of about the same
+    size in the block."""
+    entries = sets.select("node", "size", "cuts", F.posexplode("heads").alias("at", "shingle"))
+    cuts = F.coalesce(F.get("cuts", F.col("at")), F.lit(1))
     level = F.floor(F.log(1.25, F.col("size").cast("double"))).cast("int")
-    entries = entries.repartition("shingle").withColumn("level", level)
-    return entries.selectExpr(
-        "shingle", "node", "size", "place",
-        "count(1) over (partition by shingle) as members",
-        "min(node) over (partition by shingle, level) as first").where("members > 1")
+    entries = entries.select("shingle", "node", "size", level.alias("level"), cuts.alias("cuts")) \
+        .withColumn("block", F.when(F.col("cuts") > 1, F.pmod(F.xxhash64("node"), "cuts"))
+                    .otherwise(0).cast("int"))
+    return entries.repartition("shingle", "block").selectExpr(
+        "shingle", "node", "size", "cuts", "block",
+        "count(1) over (partition by shingle, block) as members",
+        "min(node) over (partition by shingle, block, level) as first").where(
+        "members > 1 or cuts > 1").drop("members")
 
 
 def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -304,34 +319,118 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "node"))
 
 
-def other_pairs(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple:
-    """Pairs of a list that are not yet in one group and can link by their sizes, places and small
-    bitmaps (which bound the overlap like the large ones); also the written table they come from.
+def smaller_members(members: list[tuple], both: bool) -> Iterator[tuple[int, int, list, list]]:
+    """Of one list, or of two blocks of it (``both``): each member with its size, and nodes and sizes
+    of the members that are not larger, at least four fifths of its size and in another group.
 
-    The larger set probes with all its short lists; of the smaller, which needs T >= 8 y / 9, the
-    first y - T + 1 suffice.
+    ``members`` are (size, node, group, block).
     """
-    marked = rows = materialise(labelled(lists.drop("first"), labels), "ngram-lists")
-    mixed = rows.groupBy("shingle").agg(F.min("component").alias("low"),
-                                        F.max("component").alias("high")).where("low < high")
-    small = sets.select("node", *[F.col("small")[k].alias(f"s{k}") for k in range(4)])
-    rows = materialise(
-        rows.join(mixed.select("shingle"), "shingle", "left_semi").join(small, "node")
-        .select("shingle", "node", "size", "place", "component", "s0", "s1", "s2", "s3"),
-        "ngram-mixed")
-    discard(marked)
-    large = rows.toDF("shingle", "node_x", "x", "at_x", "component_x", "x0", "x1", "x2", "x3")
-    small = (rows.where("place < size - (8 * size + 8) div 9 + 1")
-             .toDF("shingle", "node_y", "y", "at_y", "component_y", "y0", "y1", "y2", "y3"))
-    pairs = (large.join(small, "shingle")
-            .where("component_x <> component_y and (x > y or x = y and node_x > node_y) "
-                   "and 5 * y >= 4 * x and "
-                   "9 * (least(x - at_x, y - at_y) + least(at_x, at_y)) >= 4 * (x + y) and "
-                   "9 * (bit_count(x0 ^ y0) + bit_count(x1 ^ y1) + bit_count(x2 ^ y2) "
-                   "+ bit_count(x3 ^ y3)) <= x + y")
-            .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
-            .distinct())
-    return pairs, rows
+    members.sort()
+    if len(members) <= FEW:
+        for k, (x, node, group, block) in enumerate(members):
+            found = [(other, y) for y, other, g, b in members[:k]
+                     if g != group and 5 * y >= 4 * x and (not both or b != block)]
+            if found:
+                found.sort()
+                yield node, x, *map(list, zip(*found))
+        return
+    sizes, nodes, groups, blocks = (np.array(c, np.int64) for c in zip(*members))
+    low = np.searchsorted(5 * sizes, 4 * sizes)
+    for k in np.flatnonzero(low < np.arange(len(sizes))).tolist():
+        part = slice(low[k], k)
+        fits = groups[part] != groups[k]
+        if both:
+            fits &= blocks[part] != blocks[k]
+        if fits.any():
+            found, its = nodes[part][fits], sizes[part][fits]
+            order = np.argsort(found)
+            yield int(nodes[k]), int(sizes[k]), found[order].tolist(), its[order].tolist()
+
+
+def told(mixed: DataFrame) -> DataFrame:
+    """For every member of a list the smaller members (see above), one row a list and member."""
+    def run(batches):
+        for key, rows in grouped(batches, 3):
+            if len({group for _, _, group, _ in rows}) > 1:
+                for node, x, found, its in smaller_members(rows, key[1] != key[2]):
+                    for k in range(0, len(found), TOLD):
+                        yield node, x, found[k:k + TOLD], its[k:k + TOLD]
+
+    rows = mixed.repartition(part_count(mixed), "shingle", "low", "high").sortWithinPartitions(
+        "shingle", "low", "high").select("shingle", "low", "high", "size", "node", "component", "block")
+    return rows.mapInArrow(lambda b: emitted(run(b)), "node long, size int, smaller array<long>, "
+                                                    "sizes array<int>")
+
+
+def grouped(batches, keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Neighbouring rows with equal first columns: those values, and the rows' other values."""
+    key, rows = None, []
+    for batch in slices(batches):
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:keys], []
+            rows.append(row[keys:])
+    if rows:
+        yield key, rows
+
+
+def emitted(rows: Iterator[tuple[int, int, list, list]]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 1 + len(row[2])
+        if size >= 16 * TOLD:
+            yield told_batch(held)
+            held, size = [], 0
+    yield told_batch(held)
+
+
+def told_batch(rows: list[tuple]) -> pa.RecordBatch:
+    nodes, sizes, smaller, its = zip(*rows) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
+         pa.array(smaller, pa.list_(pa.int64())), pa.array(its, pa.list_(pa.int32()))],
+        names=["node", "size", "smaller", "sizes"])
+
+
+def occurring(lists: DataFrame) -> DataFrame:
+    """Pairs (a < b) whose smaller set occurs in enough short lists of the larger one."""
+    share = LONG
+
+    def merge(batches):
+        out_a, out_b = [], []
+        for (node, x), rows in grouped(batches, 2):
+            merged = heapq.merge(*(zip(nodes, sizes) for nodes, sizes in rows))
+            longest = long_lists(x, share)
+            for (other, y), times in groupby(merged):
+                if sum(1 for _ in times) >= needed(x, y) - longest:
+                    out_a.append(min(node, other))
+                    out_b.append(max(node, other))
+            if len(out_a) >= 16 * TOLD:
+                yield pa.RecordBatch.from_arrays([pa.array(out_a), pa.array(out_b)], names=["a", "b"])
+                out_a, out_b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())],
+                                         names=["a", "b"])
+
+    return (lists.repartition(part_count(lists), "node").sortWithinPartitions("node")
+            .select("node", "size", "smaller", "sizes").mapInArrow(merge, "a long, b long"))
+
+
+def other_pairs(lists: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs that are not yet in one group and share enough short lists; also a written table that
+    they come from."""
+    marked = materialise(labelled(lists.drop("first"), labels), "ngram-lists")
+    mixed = marked.groupBy("shingle").agg(F.min("component").alias("a"),
+                                          F.max("component").alias("b")).where("a < b")
+    rows = marked.join(mixed.select("shingle"), "shingle", "left_semi")
+    # A member of a list in several blocks goes to every pair of blocks with its own in it.
+    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
+    rows = rows.select("*", other).select(
+        "shingle", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "size", "node", "component", "block")
+    return occurring(told(rows)), marked
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
@@ -340,7 +439,8 @@ def similar_groups(docs: DataFrame) -> DataFrame:
 
     Documents link when their sets of five-word shingles have 100 * intersection >= 80 * union;
     ``component_id`` is the smallest ``doc_id`` that links lead to. A null or empty text, or one of
-    white space, has no shingles and links with nothing. Rows of one ``doc_id`` are one document with
+    white space, has no shingles and links with nothing; a long text is held as its shingles' hashes,
+    eight bytes a word. Rows of one ``doc_id`` are one document with
     several texts and belong to one group. A row without a ``doc_id`` belongs to the group of rows
     with an equal set, else to none (null). An empty table gives no rows; other columns are ignored.
     """
@@ -360,7 +460,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
              .distinct())
     first = linked(docs, stars, sets)
     labels = materialise(components(first), "ngram-labels")
-    others, mixed = other_pairs(lists, labels, sets)
+    others, mixed = other_pairs(lists, labels)
     more = linked(docs, others, sets)
     discard(lists, mixed, sets)
     named = rows.join(names, "set_name", "left")

@@ -69,6 +69,45 @@ def test_matches_brute_force(make_docs):
     assert found_groups(make_docs(rows)) == brute_groups(rows)
 
 
+@pytest.mark.parametrize("block,long", [(3, 0.7), (1 << 16, 0.3), (10, 0.79)])
+def test_lists_in_blocks_and_other_numbers_of_long_lists(make_docs, monkeypatch, block, long):
+    monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "LONG", long)
+    monkeypatch.setattr(N, "LEAST_COUNT", 2)
+    rng = random.Random(block)
+    passage = [f"shared{i}" for i in range(80)]
+    texts = [" ".join(passage + [f"w{rng.randrange(500)}" for _ in range(rng.randrange(8, 24))])
+             for _ in range(60)]
+    texts += [t for size in (8, 40, 90) for t in family(rng, size, 20, 4)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert found_groups(make_docs(rows)) == brute_groups(rows)
+
+
+def test_every_member_is_told_of_smaller_ones_of_other_groups():
+    rng = random.Random(4)
+    for count in (2, 5, N.FEW, N.FEW + 30):
+        members = [(rng.randrange(50, 90), n, rng.randrange(4), rng.randrange(2))
+                   for n in range(count)]
+        for both in (False, True):
+            pairs = [tuple(sorted((x, y))) for x, _, found, _ in
+                     N.smaller_members(list(members), both) for y in found]
+            assert sorted(pairs) == sorted(
+                (a, b) for a in range(count) for b in range(a + 1, count)
+                for (p, _, g, i), (q, _, h, j) in [(members[a], members[b])]
+                if g != h and 5 * min(p, q) >= 4 * max(p, q) and (not both or i != j))
+
+
+def test_long_texts_link(make_docs):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(200_000)]
+    near, far = list(words), list(words)
+    near[1000:21000], far[1000:60000] = ["x"], ["y"]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    found = {r.doc_id: r.component_id for r in N.similar_groups(make_docs(rows)).collect()}
+    assert found == {1: 1, 2: 1, 3: 3}
+
+
 def test_repeated_and_null_ids(make_docs):
     one, two = "a b c d e f g", "p q r s t u v"
     rows = [(5, one), (5, one), (5, two), (9, two), (None, one), (None, "no other text at all"),
