@@ -34,6 +34,24 @@ def multi_line_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+def csv_of_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "texts")
+    table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("> "), "text").alias("text")) \
+        .write.csv(path, header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
+                   ignoreTrailingWhiteSpace=False)
+    return read_csv(spark, path)
+
+
+def mixed_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "encodings")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat("lang", F.lit(" \u00e9\u00fc "), "source").alias("label"), "n_chars")
+    for name, part in (("UTF-8", 0), ("ISO-8859-1", 1)):
+        rows.where(F.col("doc_id") % 2 == part).write.csv(f"{path}/{name}", header=True,
+                                                          encoding=name)
+    return read_csv(spark, f"{path}/*")
+
+
 # Rows per JSON document: the number of documents grows with the table, not their size.
 DOCUMENT_ROWS = 1000
 
@@ -105,6 +123,8 @@ def write_processed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "source_csv": csv_customer,
     "source_csv_multi_line": multi_line_csv_documents,
+    "source_csv_whole_texts": csv_of_whole_texts,
+    "source_csv_encodings": mixed_encodings,
     "source_delimited": delimited_part,
     "source_json_records": json_records_supplier,
     "source_json_columns": json_columns_part,
@@ -122,6 +142,11 @@ SQL = {
     "source_csv_multi_line": """SELECT doc_id::BIGINT AS doc_id,
         lang || chr(10) || '"q", ' || source AS label, n_chars::BIGINT AS n_chars
         FROM documents""",
+    "source_csv_whole_texts": """SELECT doc_id::BIGINT AS doc_id, '> ' || text AS text
+        FROM documents""",
+    "source_csv_encodings": """SELECT doc_id::BIGINT AS doc_id,
+        lang || ' ' || chr(233) || chr(252) || ' ' || source AS label, n_chars::BIGINT AS n_chars
+        FROM documents""",
     "source_delimited": """SELECT p_partkey::BIGINT AS p_partkey, p_name, p_brand, p_type,
         p_size::BIGINT AS p_size, p_retailprice FROM part""",
     "source_json_records": """SELECT s_suppkey::BIGINT AS s_suppkey, s_name,

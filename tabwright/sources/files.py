@@ -10,32 +10,44 @@ from pyspark.sql import functions as F
 from tabwright.config import NULL_TOKENS
 from tabwright.functions.columns import is_text, name, strip
 from tabwright.functions.texts import text_to_boolean, text_to_double, text_to_long
+from tabwright.sources.records import read_records
 
 
 @dataclass
 class TextShape:
-    """What a scan of the raw lines tells about a delimited file."""
+    """What a scan of the raw lines tells about delimited files."""
 
-    encoding: str
+    #: The one encoding of all files; None if there are several.
+    encoding: str | None
+    #: Whether quoted values span lines.
     multi_line: bool
 
 
+def file_encodings(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``encoding``, decided for each file by its bytes: UTF-8 if every line is valid,
+    else ISO-8859-1."""
+    valid = F.bool_and(F.is_valid_utf8("value"))
+    return spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.when(valid, "UTF-8").otherwise("ISO-8859-1").alias("encoding"))
+
+
 def inspect_text(spark: SparkSession, path: str) -> TextShape:
-    """Encoding and whether quoted values span lines, in one scan.
+    """Encodings and whether quoted values span lines, in one scan.
 
-    Spark's reader replaces bad bytes instead of failing, so the bytes are checked here. Files
-    without multi-line values can be split over tasks.
+    Spark's reader replaces bad bytes instead of failing, so the bytes are checked here, file by file.
     """
     line = F.col("value")
-    row = (spark.read.text(path).agg(
+    row = (spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.bool_and(F.is_valid_utf8(line)).alias("utf8"),
         F.bool_or(F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1).alias("open_quote"))
-        .first())
-    return TextShape("UTF-8" if row.utf8 is not False else "ISO-8859-1", bool(row.open_quote))
+        .agg(F.bool_and("utf8").alias("all_utf8"), F.bool_or("utf8").alias("any_utf8"),
+             F.bool_or("open_quote").alias("open_quote")).first())
+    encoding = "UTF-8" if row.all_utf8 is not False else None if row.any_utf8 else "ISO-8859-1"
+    return TextShape(encoding, bool(row.open_quote))
 
 
-def resolve_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if every line is valid UTF-8, else ISO-8859-1."""
+def resolve_encoding(spark: SparkSession, path: str) -> str | None:
+    """UTF-8 if every line is valid UTF-8, ISO-8859-1 if no file is, None if files differ."""
     return inspect_text(spark, path).encoding
 
 
@@ -66,11 +78,17 @@ def infer_types(df: DataFrame) -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str | None = ",") -> DataFrame:
-    """Header row, null markers, inferred types; an empty separator means comma."""
-    shape = inspect_text(spark, path)
-    raw = spark.read.csv(path, header=True, sep=(sep or ",").replace("\\t", "\t"),
-                         encoding=shape.encoding, multiLine=shape.multi_line, escape='"',
-                         inferSchema=False, enforceSchema=False)
+    """Header row, null markers, inferred types; an empty separator means comma.
+
+    Files of one encoding without quoted line ends are left to Spark's reader, which splits them by
+    lines; others are cut into rows first (see :mod:`tabwright.sources.records`).
+    """
+    shape, sep = inspect_text(spark, path), (sep or ",").replace("\\t", "\t")
+    if shape.multi_line or shape.encoding is None:
+        raw = read_records(spark, path, sep)
+    else:
+        raw = spark.read.csv(path, header=True, sep=sep, encoding=shape.encoding, escape='"',
+                             inferSchema=False, enforceSchema=False)
     return infer_types(normalise_null_tokens(raw))
 
 
