@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabwright.config import NULL_TOKENS
 from tabwright.functions.columns import is_text, name, strip
 from tabwright.functions.texts import text_to_boolean, text_to_double, text_to_long
+from tabwright.sources import documents
 from tabwright.sources.records import read_records
 
 
@@ -97,26 +98,14 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON document holding a table: an array of records, or an object of columns.
+    """JSON documents that hold a table: arrays of records, or objects of columns.
 
-    The column form ``{"column": {"row": value}}`` is laid out as cells and pivoted by row. One
-    document is one value for Spark; many files are read in parallel.
+    The column form ``{"column": {"row": value}}`` is laid out as cells and pivoted by row. A document
+    of any length is read by many tasks (see :mod:`tabwright.sources.documents`).
     """
-    opening = (spark.read.text(path).where(strip(F.col("value")) != "")
-               .select(F.substring(strip(F.col("value")), 1, 1).alias("c")).first())
-    if opening is None or opening.c != "{":
-        return spark.read.json(path, multiLine=True)
-    documents = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file"),
-        F.from_json("value", "map<string,map<string,string>>").alias("table"))
-    columns = [r.c for r in documents.select(F.explode(F.map_keys("table")).alias("c"))
-               .distinct().collect()]
-    order = documents.select(F.map_keys("table").alias("k")).first().k
-    columns.sort(key=lambda c: order.index(c) if c in order else len(order))
-    cells = (documents.select("file", F.explode("table").alias("column", "rows"))
-             .select("file", "column", F.explode("rows").alias("row", "value")))
-    wide = cells.groupBy("file", "row").pivot("column", columns).agg(F.first("value"))
-    return infer_types(wide.drop("file", "row"))
+    if documents.opening(spark, path) == "{":
+        return infer_types(documents.read_columns(spark, path))
+    return documents.read_array(spark, path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
