@@ -24,6 +24,13 @@ def impute_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     ["flag"])
 
 
+def level_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = gappy_lines(spark, sf_dir).withColumn(
+        "part", F.concat(F.lit("p"), F.col("l_partkey").cast("string")))
+    coded, _ = features.level_codes(lines, ["flag", "part"])
+    return coded.select(*LINE_KEYS, "flag_code", "part_code")
+
+
 def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         *LINE_KEYS, "l_quantity", "l_extendedprice", F.lit(7.0).alias("constant"))
@@ -134,6 +141,7 @@ QUERIES = {
     "feature_impute_median": impute_median,
     "feature_impute_constant": impute_constant,
     "feature_standardise": standardise,
+    "feature_level_codes": level_codes,
     "feature_one_hot": one_hot,
     "feature_vector": feature_vector,
     "cluster_choose_k": choose_k,
@@ -181,6 +189,9 @@ def _scaled(column: str, source: str) -> str:
 _LINES_CONSTANT = "(SELECT *, 7.0::DOUBLE AS constant FROM lineitem)"
 
 SQL = {
+    "feature_level_codes": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+        dense_rank() OVER (ORDER BY coalesce(flag, '__MISSING__')) - 1 AS flag_code,
+        dense_rank() OVER (ORDER BY 'p' || l_partkey) - 1 AS part_code FROM {GAPPY_LINES_SQL}""",
     "feature_impute_median": f"""SELECT {_LINE_KEYS_SQL}, {', '.join(
         f"coalesce({c}, (SELECT median({c}) FROM {GAPPY_LINES_SQL})) AS {c}"
         for c in ("quantity", "price"))} FROM {GAPPY_LINES_SQL}""",

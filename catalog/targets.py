@@ -104,6 +104,14 @@ def label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WIDE_TABLES = ["lineitem", "orders", "events", "customer", "part", "documents"]
 
+def text_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every different text is a class of its own."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded, encoding = target.label_encode(docs, "text")
+    decoded = target.label_decode(encoded, encoding, ["label"])
+    return decoded.select("doc_id", "label", F.length("label_Original").alias("n_chars"))
+
+
 QUERIES = {
     "profile_columns": _over(WIDE_TABLES, _profile),
     "profile_plottable": _over(["lineitem", "customer", "pages"], lambda df: overview_columns(df)),
@@ -114,6 +122,7 @@ QUERIES = {
     "target_ranking": _over(list(COLUMNS), _ranked),
     "target_choice": chosen_targets,
     "target_label_codes": label_codes,
+    "target_label_codes_texts": text_codes,
 }
 
 
@@ -166,6 +175,8 @@ def _ranking_sql(names) -> str:
 
 
 SQL = {
+    "target_label_codes_texts": """SELECT doc_id, (dense_rank() OVER (ORDER BY text) - 1)::INTEGER AS label,
+        length(text)::INTEGER AS n_chars FROM documents""",
     "profile_columns": f"""SELECT table_name, pos::INTEGER AS ordinal, column_name, row_count,
         missing, distinct_count, round(distinct_count / row_count, 9) AS distinct_ratio,
         is_integral FROM {_profile_sql(WIDE_TABLES)}""",

@@ -154,7 +154,7 @@ def predictions_table(rf: DataFrame, knn: DataFrame, key: str, encoding: LabelEn
     both = (rf.select(key, name(y).alias("Actual"), F.col("prediction").alias("Predicted_RF"))
             .join(knn.select(key, F.col("prediction").alias("Predicted_KNN")), key))
     columns = ["Actual", "Predicted_RF", "Predicted_KNN"]
-    if encoding.classes is None:
+    if not encoding.coded:
         return both
     coded = both.withColumns({c: F.col(c).cast("int") for c in columns})
     return encoding.decode(coded, {c: f"{c}_Original" for c in columns})

@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 
 from tabwright.config import MISSING_LEVEL
 from tabwright.functions.columns import is_numeric, is_text, missing, name
+from tabwright.operators.dictionary import Dictionary
 from tabwright.operators.order_stats import exact_medians
 
 CLUSTER = "cluster"
 
-# The levels of a column are listed on the driver by the indexer; refuse lists beyond this size.
-LEVEL_LIMIT = 1_000_000
+# A sketch of distinct counts is off by far less than this factor; nearer to a limit they are counted.
+SKETCH_ROOM = 2
 
 
 @dataclass
@@ -117,20 +118,33 @@ def one_hot_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def wide_categoricals(df: DataFrame, columns: Sequence[str],
                       limit: int | None = None) -> dict[str, str]:
-    """Categorical columns with more levels than allowed; one sketch aggregate for all."""
-    if not columns:
+    """Categorical columns with more levels than allowed, by exact counts.
+
+    One sketch aggregate for all columns; those that it puts near the limit are counted. The stand-in
+    level of missing values counts as one.
+    """
+    if not columns or limit is None:
         return {}
-    row = df.agg(*[F.approx_count_distinct(name(c)).alias(f"d{i}")
+    levels = {c: level_text(df, c) for c in columns}
+    row = df.agg(*[F.approx_count_distinct(levels[c], 0.02).alias(f"d{i}")
                    for i, c in enumerate(columns)]).first()
-    levels = {c: row[f"d{i}"] for i, c in enumerate(columns)}
-    if limit is not None:
-        return {c: f"about {n} levels, more than max_onehot_levels={limit}"
-                for c, n in levels.items() if n > limit}
-    beyond = [c for c, n in levels.items() if n > LEVEL_LIMIT]
-    if beyond:
-        raise ValueError(f"columns {beyond} have more than {LEVEL_LIMIT} levels; drop them or set "
-                         "max_onehot_levels")
-    return {}
+    counts = {c: row[f"d{i}"] for i, c in enumerate(columns)}
+    near = [c for c, n in counts.items() if limit < n * SKETCH_ROOM and n <= limit * SKETCH_ROOM]
+    # One count a column keeps each a plain pair of partial aggregates, without a copy of the rows.
+    counts |= {c: df.select(levels[c]).distinct().count() for c in near}
+    return {c: f"{n if c in near else f'about {n}'} levels, more than max_onehot_levels={limit}"
+            for c, n in counts.items() if n > limit}
+
+
+def level_codes(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, Dictionary]]:
+    """Adds ``<column>_code`` per categorical column: the code of its level in the order of the text,
+    for any number of levels; also the dictionaries, which encode further rows (unseen levels: null)."""
+    found = {c: Dictionary.fit(df, level_text(df, c)) for c in columns}
+    for c, dictionary in found.items():
+        text = f"_level_{c}"
+        df = dictionary.encode(df.withColumn(text, level_text(df, c)), text, f"{c}_code") \
+            .drop(text)
+    return df, found
 
 
 @dataclass

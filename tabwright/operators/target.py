@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.config import COMMON_TARGET_NAMES, ID_NAME_PARTS
 from tabwright.functions.columns import is_text, name
+from tabwright.operators.dictionary import SENT_WHOLE, Dictionary
 from tabwright.operators.profile import profile_columns
 
-# The class list is held by the driver and by every tree node.
-CLASS_LIMIT = 100_000
-
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
 
@@ -124,27 +122,39 @@ def needs_encoding(df: DataFrame, target: str) -> bool:
 
 @dataclass
 class LabelEncoding:
-    """Codes of the target classes, in the order of their text; no classes for numeric targets."""
+    """Codes of the target classes, in the order of their text.
+
+    ``classes`` lists them where they are few, else ``dictionary`` holds them as a table; a numeric
+    target has neither.
+    """
 
     target: str
     classes: list[str] | None
+    dictionary: Dictionary | None = None
+
+    @property
+    def coded(self) -> bool:
+        return self.classes is not None or self.dictionary is not None
 
     @classmethod
     def fit(cls, df: DataFrame, target: str) -> "LabelEncoding":
         if not needs_encoding(df, target):
             return cls(target, None)
-        about = df.agg(F.approx_count_distinct(name(target)).alias("n")).first().n
-        if about > CLASS_LIMIT:
-            raise ValueError(f"target {target} has about {about} classes, more than {CLASS_LIMIT}; "
-                             "a forest cannot be fitted on it, choose another target")
-        model = StringIndexer(inputCol=target, outputCol="label", handleInvalid="error",
-                              stringOrderType="alphabetAsc").fit(df.select(name(target)))
-        return cls(target, list(model.labelsArray[0]))
+        dictionary = Dictionary.fit(df, name(target))
+        if dictionary.size > SENT_WHOLE:
+            return cls(target, None, dictionary)
+        return cls(target, [r.value for r in dictionary.entries.orderBy("code").collect()])
 
     def transform(self, df: DataFrame, output: str = "label") -> DataFrame:
-        """Adds the numeric target: class code, or the value itself as double."""
-        if self.classes is None:
+        """Adds the numeric target: class code, or the value itself as double. Values that are not
+        among the classes are an error."""
+        if not self.coded:
             return df.withColumn(output, name(self.target).cast("double"))
+        if self.dictionary is not None:
+            unseen = F.raise_error(F.concat(F.lit(f"{self.target} is no class seen before: "),
+                                            F.coalesce(name(self.target), F.lit("null"))))
+            return self.dictionary.encode(df, self.target, output).withColumn(
+                output, F.coalesce(name(output).cast("double"), unseen.cast("double")))
         model = StringIndexerModel.from_labels(self.classes, inputCol=self.target,
                                                outputCol=output, handleInvalid="error")
         return model.transform(df)
@@ -152,6 +162,9 @@ class LabelEncoding:
     def decode(self, df: DataFrame, columns: dict[str, str]) -> DataFrame:
         """Adds, per coded column, a column with the class text of its code."""
         for code, text in columns.items():
+            if self.dictionary is not None:
+                df = self.dictionary.decode(df, code, text)
+                continue
             coded = df.withColumn("_code", name(code).cast("double"))
             df = IndexToString(inputCol="_code", outputCol=text,
                                labels=self.classes).transform(coded).drop("_code")
@@ -161,13 +174,13 @@ class LabelEncoding:
 def label_encode(df: DataFrame, target: str) -> tuple[DataFrame, LabelEncoding]:
     encoding = LabelEncoding.fit(df, target)
     encoded = encoding.transform(df, "label")
-    if encoding.classes is not None:
+    if encoding.coded:
         encoded = encoded.withColumn("label", F.col("label").cast("int"))
     return encoded, encoding
 
 
 def label_decode(df: DataFrame, encoding: LabelEncoding, columns: list[str]) -> DataFrame:
     """Adds ``<column>_Original`` with the class text of each coded column."""
-    if encoding.classes is None:
+    if not encoding.coded:
         return df
     return encoding.decode(df, {c: f"{c}_Original" for c in columns})
