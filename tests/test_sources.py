@@ -33,7 +33,7 @@ def test_plain_csv_stays_splittable(spark, tmp_path):
 
 def test_delimited_text(spark, tmp_path):
     (tmp_path / "t.txt").write_text("a\tb\n1\tx\n")
-    spec = loading.file_source(f'"{tmp_path}/t.TXT"', "\\t")
+    spec = loading.file_source(f"{tmp_path}/t.TXT", "\\t")
     assert (spec.extension, spec.delimiter) == (".txt", "\\t")
     df = files.read_delimited(spark, str(tmp_path / "t.txt"), "\\t")
     assert tuple(df.first()) == (1, "x")
@@ -91,6 +91,30 @@ def test_workbooks(spark, tmp_path):
                     ("z", 3.0, "2024-01-03 00:00:00", None)]
 
 
+def test_workbooks_with_equal_and_other_headers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tabwright.sources.excel.BATCH_ROWS", 2)
+    headers = [["b", "a", "a", None], ["c", "a", "b"]]
+    for i, header in enumerate(headers):
+        cells = [header] + [[f"{i}{r}{c}x" for c in range(len(header))] for r in range(5)]
+        rows = "".join("<row>" + "".join(
+            f'<c r="{chr(65 + c)}{r + 1}" t="inlineStr"><is><t>{v}</t></is></c>'
+            for c, v in enumerate(row) if v is not None) + "</row>" for r, row in enumerate(cells))
+        with zipfile.ZipFile(tmp_path / f"{'ab'[i]}.xlsx", "w") as book:
+            book.writestr("xl/workbook.xml", '<workbook xmlns:r="r"><sheets>'
+                          '<sheet name="s" r:id="i1"/></sheets></workbook>')
+            book.writestr("xl/_rels/workbook.xml.rels", '<Relationships>'
+                          '<Relationship Id="i1" Target="worksheets/s.xml"/></Relationships>')
+            book.writestr("xl/worksheets/s.xml",
+                          f"<worksheet><sheetData>{rows}</sheetData></worksheet>")
+    df = read_excel(spark, str(tmp_path))
+    # Cells beyond the last header cell belong to no column: the fourth of the first sheet has none.
+    assert df.columns == ["b", "a", "a.1", "c"]
+    rows = sorted((tuple(r) for r in df.collect()), key=str)
+    assert rows == sorted(
+        [(f"0{r}0x", f"0{r}1x", f"0{r}2x", None) for r in range(5)]
+        + [(f"1{r}2x", f"1{r}1x", None, f"1{r}0x") for r in range(5)], key=str)
+
+
 def test_jdbc_options():
     spec = SourceSpec(kind="database", url=database.sqlite_url("/data/x.db"), query="select 1",
                       driver="org.sqlite.JDBC", options={"fetchsize": "10000"})
