@@ -105,7 +105,7 @@ def preview_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_and_reload_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = file_source(f" '{sf_dir}/orders.parquet' ")
+    spec = file_source(f"{sf_dir}/orders.parquet")
     first = load_clean(spark, spec)
     again = reload(spark, spec.to_json())
     count = F.count(F.lit(1))

@@ -14,10 +14,12 @@ from tabwright.functions.columns import name
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder; a fresh
-    local one only where neither is set."""
+    local one only where neither is set and all tasks run on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tabwright-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
