@@ -15,6 +15,7 @@ from tabwright.operators import (cluster, datetimes, evaluate, explain, features
                                  split, treeshap)
 from tabwright.operators.target import CLASSIFICATION, REGRESSION, LabelEncoding, label_encode
 from tabwright.plans.analysis import run_table
+from tabwright.plans.stored import load, save
 from tabwright.sources.files import read_csv
 from tabwright.sources.sinks import write_cluster_profiles, write_metrics, write_predictions
 
@@ -249,7 +250,20 @@ def report_orders_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_table(table(spark, sf_dir, "orders"), config).tables["metrics_summary"]
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows made ready by a run that was saved and loaded: the fit's medians fill the gaps."""
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", "p_retailprice",
+        F.when(F.col("p_partkey") % 7 > 0, F.col("p_size")).alias("size"))
+    config = RunConfig(**{**QUICK.__dict__, "target_col": "p_retailprice",
+                          "key_cols": ["p_partkey"]})
+    folder = save(run_table(parts, config), parts.schema, scratch_path(spark, "stored"))
+    ready = load(spark, folder).transform(parts)
+    return ready.select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_brand", "size")
+
+
 QUERIES = {
+    "run_stored_features": stored_features,
     "predictions_table": predictions_of_orders,
     "sink_predictions": written_predictions,
     "sink_metrics": written_metrics,
@@ -321,6 +335,10 @@ _PREDICTIONS = f"""WITH codes AS (SELECT p, row_number() OVER (ORDER BY p) - 1 A
         JOIN codes k ON k.c = knn"""
 
 SQL = {
+    "run_stored_features": """WITH parts AS (SELECT p_partkey::BIGINT AS p_partkey, p_brand,
+            CASE WHEN p_partkey % 7 > 0 THEN p_size::DOUBLE END AS size FROM part)
+        SELECT p_partkey, p_brand, coalesce(size, (SELECT median(size) FROM parts)) AS size
+        FROM parts""",
     "predictions_table": _PREDICTIONS,
     "sink_predictions": f"""SELECT o_orderkey::BIGINT AS o_orderkey, "Actual"::BIGINT AS "Actual",
         "Predicted_RF"::BIGINT AS "Predicted_RF", "Predicted_KNN"::BIGINT AS "Predicted_KNN",
