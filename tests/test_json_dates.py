@@ -1,3 +1,5 @@
+import hashlib
+import random
 import datetime
 
 import pytest
@@ -75,3 +77,32 @@ def test_all_missing_date_column_dropped_and_clash_raises(spark):
     clash = spark.createDataFrame([(1, datetime.date(2024, 1, 1))], "d_year int, d date")
     with pytest.raises(ValueError, match="d_year"):
         datetimes.extract_datetime_features(clash)
+
+
+def test_probe_as_a_sort_of_all_values(spark, monkeypatch):
+    """Few and many different values, unreadable ones at every place of the order."""
+    rng = random.Random(2)
+    days = [f"2024-01-{d:02d} 10:00:00" for d in range(1, 29)]
+    columns = {}
+    for k, (kinds, bad) in enumerate([(3, 0.0), (28, 0.02), (28, 0.3), (5000, 0.0), (5000, 0.001),
+                                      (5000, 0.02), (5000, 1.0)]):
+        pool = [f"20{rng.randrange(10, 99)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)} "
+                f"{rng.randrange(10, 23)}:{rng.randrange(10, 59)}:00" if kinds > 28 else days[j]
+                for j in range(kinds)]
+        columns[f"c{k}"] = [f"no date {rng.randrange(900)}" if rng.random() < bad else
+                            rng.choice(pool) if rng.random() < 0.95 else None for _ in range(3000)]
+    columns["empty"] = [None] * 3000
+    names = list(columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{n} string" for n in names))
+    for sample in (1, 20, 50, 400):
+        wanted = []
+        for n in names:
+            ranked = sorted((hashlib.md5(f"42:{v}".encode()).hexdigest(), v)
+                            for v in columns[n] if v is not None)
+            taken = [h for h, v in ranked if v.startswith("no")]
+            ahead = sum(h < taken[0] for h, _ in ranked) if taken else len(ranked)
+            if ranked and (not taken or ahead >= sample):
+                wanted.append(n)
+        for room in (8, 2):
+            monkeypatch.setattr(datetimes, "ROOM", room)
+            assert datetimes.probe_datetime_strings(df, names, sample=sample) == wanted
