@@ -177,7 +177,8 @@ def short_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
                     at = np.searchsorted(kinds, found)
                     at[at == len(kinds)] = 0
                     rank = np.where(kinds[at] == found, counts[at], 0)
-                order = np.lexsort((found, rank))[:n - long_lists(n, share)]
+                # ``found`` is sorted, so a stable sort by count orders equal counts by hash.
+                order = np.argsort(rank, kind="stable")[:n - long_lists(n, share)]
                 heads.append(found[order].view(np.int64))
                 cuts.append((rank[order] // block + 1).astype(np.int32) if rank.any() else None)
                 sizes.append(n)
