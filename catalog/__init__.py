@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from catalog import cleaning, evaluation, features, models, overview, sources, targets
+from catalog import cleaning, evaluation, features, models, overview, sources, targets, trees
 
-MODULES = (sources, cleaning, targets, features, models, evaluation, overview)
+MODULES = (sources, cleaning, targets, features, models, trees, evaluation, overview)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

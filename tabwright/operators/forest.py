@@ -14,9 +14,10 @@ ForestModel = RandomForestClassificationModel | RandomForestRegressionModel
 
 
 def fit_rf_classifier(df: DataFrame, trees: int = 100, depth: int = 10, bins: int = 32,
-                      seed: int = 42, weight_col: str | None = None) -> ForestModel:
+                      seed: int = 42, weight_col: str | None = None,
+                      bootstrap: bool = True) -> ForestModel:
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees,
-                                    maxDepth=depth, maxBins=bins, seed=seed,
+                                    maxDepth=depth, maxBins=bins, seed=seed, bootstrap=bootstrap,
                                     maxMemoryInMB=1024, cacheNodeIds=depth > 12)
     if weight_col:
         forest = forest.setWeightCol(weight_col)
@@ -24,9 +25,9 @@ def fit_rf_classifier(df: DataFrame, trees: int = 100, depth: int = 10, bins: in
 
 
 def fit_rf_regressor(df: DataFrame, trees: int = 100, depth: int = 10, bins: int = 32,
-                     seed: int = 42) -> ForestModel:
+                     seed: int = 42, bootstrap: bool = True) -> ForestModel:
     return RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees,
-                                 maxDepth=depth, maxBins=bins, seed=seed,
+                                 maxDepth=depth, maxBins=bins, seed=seed, bootstrap=bootstrap,
                                  featureSubsetStrategy="all", maxMemoryInMB=1024,
                                  cacheNodeIds=depth > 12).fit(df)
 
@@ -66,3 +67,19 @@ def node_table(model: ForestModel) -> DataFrame:
         F.when(swapped, F.col("leftChild")).otherwise(F.col("rightChild")).alias("right"),
         split["featureIndex"].alias("feature"),
         F.when(by_level, F.lit(0.5)).when(inner, first).alias("threshold"))
+
+
+def classes_of(model: ForestModel) -> int:
+    return getattr(model, "numClasses", 1)
+
+
+def forest_nodes(model: ForestModel) -> DataFrame:
+    """Node table with the training weight of a node (``cover``) and its value per class: class
+    shares, or the mean for regression."""
+    classified = classes_of(model) > 1
+    weight = F.aggregate("stats", F.lit(0.0), lambda s, x: s + x) if classified \
+        else F.get("stats", F.lit(0))
+    value = F.transform("stats", lambda x: x / weight) if classified \
+        else F.array(F.col("prediction"))
+    return node_table(model).select("tree", "node", "left", "right", "feature", "threshold",
+                                    weight.alias("cover"), value.alias("value"))
