@@ -25,6 +25,12 @@ def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber", F.nanvl("quantity", F.lit(None).cast("double")).alias("quantity"), "flag"))
 
 
+def duplicate_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, with those of a length that ends in 0 read twice."""
+    rows = table(spark, sf_dir, "documents").select("source", "lang", "n_chars", "text")
+    return clean.drop_duplicate_rows(rows.unionAll(rows.where(F.col("n_chars") % 10 == 0)))
+
+
 def empty_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = gappy_lines(spark, sf_dir).select(
         *LINE_KEYS, "quantity", F.expr("CASE WHEN l_linenumber < 0 THEN l_suppkey END")
@@ -133,6 +139,7 @@ QUERIES = {
     "clean_all_missing_rows": lambda s, d: all_missing_rows(s, d).withColumn(
         "quantity", F.nanvl("quantity", F.lit(None).cast("double"))),
     "clean_duplicate_rows": duplicate_rows,
+    "clean_duplicate_wide_rows": duplicate_wide_rows,
     "clean_empty_columns": empty_columns,
     "clean_missing_target_rows": missing_target_rows,
     "clean_missing_report": missing_report,
@@ -171,6 +178,7 @@ SQL = {
         quantity, price, flag, shipped FROM {GAPPY_LINES_SQL}""",
     "clean_all_missing_rows": f"""SELECT quantity, price, tax, flag FROM {GAPPY_LINES_SQL}
         WHERE coalesce(quantity, price, tax) IS NOT NULL OR flag IS NOT NULL""",
+    "clean_duplicate_wide_rows": "SELECT DISTINCT source, lang, n_chars, text FROM documents",
     "clean_duplicate_rows": f"""SELECT DISTINCT l_linenumber, quantity, flag
         FROM {GAPPY_LINES_SQL}""",
     "clean_empty_columns": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, quantity

@@ -83,6 +83,8 @@ class RunConfig:
 
     shap_rows: int = 500
     shap_background: int = 100
+    # "sample": copies of pdp_rows test rows; "rows": all test rows; "covers": the trees alone.
+    pdp_method: str = "sample"
     pdp_rows: int = 500
     pdp_features: int = 6
     pdp_grid: int = 100

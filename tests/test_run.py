@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright.config import RunConfig
+from tabwright.plans.analysis import run_table
 from tabwright.plans import ProcessingModel, distinct_rows, fit_processing, refresh, run
 from tabwright.sources.loading import file_source
 
@@ -68,3 +69,14 @@ def test_array_column_is_excluded_and_reported(spark, sf):
 def test_config_round_trip():
     config = RunConfig(target_col="y", pdp_exclude=["x"])
     assert RunConfig.from_json(config.to_json()) == config
+
+
+@pytest.mark.parametrize("method", ["rows", "covers"])
+def test_dependence_by_joins_in_a_run(spark, method):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 11), 2.0 * (i % 7) + i % 11)
+                                for i in range(120)], "row_key int, a double, b double, y double")
+    config = RunConfig(target_col="y", task_type="regression", key_cols=["row_key"],
+                       pdp_method=method, **SMALL)
+    table = run_table(df, config).tables["partial_dependence"]
+    assert table.columns == ["feature", "grid_value", "average"]
+    assert table.where("feature in ('a', 'b')").groupBy("feature").count().count() == 2
