@@ -124,6 +124,17 @@ def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in CLUSTER_COLUMNS])
 
 
+def two_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two clusters of all lines by quantity; of all cuts between two values, SQL finds the one of
+    least cost."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_quantity")
+    model = cluster.kmeans_fit(lines, ["l_quantity"], 2, LINE_KEYS, tol=0.0)
+    return model.transform(lines).groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("low"),
+        F.max("l_quantity").alias("high"), F.round(F.avg("l_quantity"), 6).alias("centre")) \
+        .withColumn("cost", F.lit(round(model.cost, 4))).drop("cluster")
+
+
 def kmeans_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per line: is its cluster the one with the nearest centre?"""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, *CLUSTER_COLUMNS)
@@ -131,7 +142,7 @@ def kmeans_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              max_iter=10)
     scaled = [model.scaling.expression(c) for c in CLUSTER_COLUMNS]
     distances = F.array(*[sum((z - F.lit(float(v))) ** 2 for z, v in zip(scaled, centre))
-                          for centre in model.model.clusterCenters()])
+                          for centre in model.centres])
     own = F.get(distances, F.col("cluster"))
     return clustered.select(*LINE_KEYS, (own <= F.array_min(distances) + 1e-9)
                             .alias("is_nearest"))
@@ -148,6 +159,7 @@ QUERIES = {
     "cluster_profile": profile_by_brand,
     "cluster_profile_rounded": profile_rounded,
     "cluster_kmeans": kmeans_clusters,
+    "cluster_two_means": two_means,
     "cluster_nearest_centre": kmeans_nearest,
     "split_stratified_orders": split_orders,
     "split_stratified_lineitem": split_lineitem,
@@ -208,6 +220,16 @@ SQL = {
         {_scaled('o_totalprice', 'orders')} AS o_totalprice, {', '.join(
         f'''(o_orderstatus = '{s}')::INTEGER::DOUBLE AS "o_orderstatus_{s}"'''
         for s in STATUSES)} FROM orders""",
+    "cluster_two_means": """WITH v AS (SELECT l_quantity AS q, count(*) AS n FROM lineitem GROUP BY 1),
+        cuts AS (SELECT c.q AS cut, sum(v.n * v.q) FILTER (v.q <= c.q) / sum(v.n) FILTER (v.q <= c.q)
+            AS low, sum(v.n * v.q) FILTER (v.q > c.q) / sum(v.n) FILTER (v.q > c.q) AS high
+            FROM v JOIN v AS c ON true GROUP BY 1),
+        best AS (SELECT cut, sum(n * power(q - CASE WHEN q <= cut THEN low ELSE high END, 2)) AS cost
+            FROM v JOIN cuts ON high IS NOT NULL GROUP BY 1 ORDER BY 2, 1 LIMIT 1)
+        SELECT count(*)::BIGINT AS n, min(l_quantity) AS low, max(l_quantity) AS high,
+            round(avg(l_quantity), 6) AS centre,
+            round(any_value(cost) / (SELECT var_pop(l_quantity) FROM lineitem), 4) AS cost
+        FROM lineitem JOIN best ON true GROUP BY l_quantity <= cut""",
     "cluster_nearest_centre": f"SELECT {_LINE_KEYS_SQL}, true AS is_nearest FROM lineitem",
     "cluster_choose_k": "\nUNION ALL ".join(f"""SELECT '{t}' AS table_name, n,
         (CASE WHEN n < 2 * least(greatest(2, n // 10), 10) THEN greatest(2, n // 2)

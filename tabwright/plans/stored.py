@@ -13,7 +13,6 @@ from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from tabwright.plans.processing import ROW_ID, ProcessingModel
 from tabwright.sources.loading import load_clean
 
 #: Version of the folder's layout; other versions are refused.
-VERSION = 1
+VERSION = 2
 #: Fields of the processing step that are plain values.
 PLAIN = ("columns", "json_columns", "numeric_json", "text_dates", "clock_parts", "date_medians",
          "target", "task_type", "medians", "dropped")
@@ -120,14 +119,12 @@ def save(result: RunResult, schema: T.StructType, folder: str) -> str:
         "dictionary": [model.encoding.dictionary.size, model.encoding.dictionary.rows]
         if model.encoding.dictionary else None,
         "clusters": {"columns": model.clusters.columns, "scaling": asdict(model.clusters.scaling),
-                     "cost": model.clusters.cost} if model.clusters else None,
+                     "centres": model.clusters.centres, "cost": model.clusters.cost} if model.clusters else None,
         "features": {"roles": asdict(vectors.roles), "medians": vectors.medians,
                      "scaling": asdict(vectors.scaling), "names": vectors.feature_names,
                      "numeric_slots": vectors.numeric_slots,
                      "encoded": vectors.encoders is not None}}
     result.forest.write().save(f"{folder}/forest")
-    if model.clusters:
-        model.clusters.model.write().save(f"{folder}/clusters")
     if vectors.encoders is not None:
         vectors.encoders.write().save(f"{folder}/encoders")
     if model.encoding.dictionary:
@@ -147,7 +144,7 @@ def load(spark: SparkSession, folder: str) -> StoredRun:
     dictionary = Dictionary(spark.read.parquet(f"{folder}/dictionary"), *state["dictionary"]) \
         if state["dictionary"] else None
     clusters = ClusterModel(kept["columns"], features.Scaling(**kept["scaling"]),
-                            KMeansModel.load(f"{folder}/clusters"), kept["cost"]) if kept else None
+                            kept["centres"], kept["cost"]) if kept else None
     model = ProcessingModel(
         **plain, encoding=LabelEncoding(plain["target"], state["classes"], dictionary),
         roles=features.FeatureRoles(**state["roles"]), clusters=clusters)

@@ -66,13 +66,52 @@ def test_kmeans_nearest_centre_and_restarts(spark):
     one = cluster.kmeans_fit(df, ["a", "b"], 3, ["id"], restarts=1)
     best = cluster.kmeans_fit(df, ["a", "b"], 3, ["id"], restarts=4)
     assert best.cost <= one.cost + 1e-9
-    centres = np.array(best.model.clusterCenters())
+    centres = np.array(best.centres)
     for r in best.transform(df).collect():
         z = np.array([(r.a - best.scaling.centre["a"]) / best.scaling.spread["a"],
                       (r.b - best.scaling.centre["b"]) / best.scaling.spread["b"]])
         assert r.cluster == ((centres - z) ** 2).sum(axis=1).argmin()
 
 
+def sequential_lloyd(points, centres, max_iter, tol):
+    """One start, one point after the other."""
+    for _ in range(max_iter):
+        own = [min(range(len(centres)), key=lambda c: (((p - centres[c]) ** 2).sum(), c))
+               for p in points]
+        moved = np.array([np.mean([p for p, o in zip(points, own) if o == c], axis=0)
+                          if c in own else centres[c] for c in range(len(centres))])
+        done = np.sqrt(((moved - centres) ** 2).sum(axis=1)).max() <= tol
+        centres = moved
+        if done:
+            break
+    return centres, sum(((centres - p) ** 2).sum(axis=1).min() for p in points)
+
+
+def test_starts_in_one_scan_equal_starts_one_by_one(spark, monkeypatch):
+    points = np.random.default_rng(3).normal(size=(200, 3)).round(2)
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points],
+                               "x double, y double, z double").repartition(5)
+    sets = np.array([cluster.spread_centres(points, 4, s) for s in range(5)])
+    sets[4, 3] = 99.0  # a centre that no row is near
+    live = []
+    scan = cluster._scan
+    monkeypatch.setattr(cluster, "_scan", lambda v, s: live.append(len(s)) or scan(v, s))
+    found, costs = cluster.lloyd(df, sets, 12, 1e-4)
+    for s, start in enumerate(sets):
+        centres, cost = sequential_lloyd(points, start, 12, 1e-4)
+        assert np.allclose(found[s], centres, atol=1e-9)
+        assert costs[s] == pytest.approx(cost, rel=1e-9)
+    assert found[4, 3].tolist() == [99.0] * 3
+    assert len(live) <= 13 and live[0] == live[-1] == 5 and sorted(live[:-1])[::-1] == live[:-1]
+
+
+def test_starting_centres_of_equal_rows(spark):
+    assert cluster.spread_centres(np.ones((5, 2)), 3, 1).tolist() == [[1.0, 1.0]] * 3
+    df = spark.createDataFrame([(i, 2.0, 5.0) for i in range(9)], "id int, a double, b double")
+    model = cluster.kmeans_fit(df, ["a", "b"], 3, ["id"], restarts=2)
+    assert model.cost == 0 and {r.cluster for r in model.transform(df).collect()} == {0}
+
+
 def test_kmeans_does_not_depend_on_partitioning(spark):
     df = blobs(spark)
     found = [sorted((r.id, r.cluster) for r in cluster.kmeans_fit(
