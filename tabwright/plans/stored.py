@@ -116,8 +116,8 @@ def save(result: RunResult, schema: T.StructType, folder: str) -> str:
         "schema": {c: kinds[c] for c in model.columns},
         "processing": {f: getattr(model, f) for f in PLAIN}, "roles": asdict(model.roles),
         "classes": model.encoding.classes,
-        "dictionary": [model.encoding.dictionary.size, model.encoding.dictionary.rows]
-        if model.encoding.dictionary else None,
+        "dictionary": [model.encoding.dictionary.size, model.encoding.dictionary.rows,
+                       model.encoding.dictionary.bytes] if model.encoding.dictionary else None,
         "clusters": {"columns": model.clusters.columns, "scaling": asdict(model.clusters.scaling),
                      "centres": model.clusters.centres, "cost": model.clusters.cost} if model.clusters else None,
         "features": {"roles": asdict(vectors.roles), "medians": vectors.medians,

@@ -92,3 +92,30 @@ def test_limits_of_levels_are_exact(spark, limit, out):
     rows = [(f"x{i % 39}" if i else None, "k") for i in range(400)]  # 39 levels and the stand-in
     df = spark.createDataFrame(rows, "v string, w string")
     assert list(features.wide_categoricals(df, ["v", "w"], limit)) == out
+
+
+@pytest.fixture
+def few_bytes(monkeypatch):
+    """Texts count as long from 20 bytes on, and 200 bytes are too many to send."""
+    monkeypatch.setattr(dictionary, "LONG_BYTES", 20)
+    monkeypatch.setattr(dictionary, "SENT_BYTES", 200)
+    monkeypatch.setattr(target, "SENT_BYTES", 200)
+    monkeypatch.setattr(dictionary, "HOT_SHARE", 5)
+
+
+def test_few_long_texts_are_not_collected(spark, few_bytes):
+    texts = [("x" * 100 + str(i % 40)) if i % 3 else "hot " * 60 for i in range(600)] + ["short"] * 300
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, y string").repartition(4)
+    encoded, encoding = target.label_encode(df, "y")
+    order = sorted(set(texts))
+    assert encoding.classes is None and encoding.dictionary.bytes == sum(map(len, order))
+    assert {r.i: r.label for r in encoded.collect()} == {i: order.index(t) for i, t in enumerate(texts)}
+    decoded = target.label_decode(encoded, encoding, ["label"])
+    assert {r.i: r.label_Original for r in decoded.collect()} == dict(enumerate(texts))
+
+
+def test_sorts_of_long_texts_sample_less(spark):
+    before = spark.conf.get(dictionary.SAMPLE_SIZE)
+    with dictionary._sampled(spark, 600, 3_000.0):
+        assert spark.conf.get(dictionary.SAMPLE_SIZE) == "5"
+    assert spark.conf.get(dictionary.SAMPLE_SIZE) == before
