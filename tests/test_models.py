@@ -6,7 +6,10 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tabwright.operators import evaluate, explain, forest, overview, treeshap
+from catalog import models
+from tabwright.functions.scratch import ordered_by_key
+from tabwright.operators import (evaluate, explain, features, forest, overview, split,
+                                 treeshap)
 
 NAMES = ["a", "b", "c"]
 
@@ -137,3 +140,35 @@ def test_correlation_with_gaps_and_constant(spark):
 def test_histogram_of_a_constant(spark):
     df = spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double")
     assert [(r.bin, r.n) for r in overview.histogram(df, "v").collect()] == [(0, 2)]
+
+
+def counted_rows(spark, rows, column):
+    """The rows, and a counter of how often any of them is computed."""
+    counter = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        counter.add(1)
+        return value
+
+    return rows.withColumn(column, F.udf(count, "double")(column)), counter
+
+
+@pytest.mark.parametrize("fit", [forest.fit_rf_classifier, forest.fit_rf_regressor])
+def test_a_fit_computes_its_rows_once(spark, data, fit):
+    rows, counter = counted_rows(spark, data.select("id", "features", F.col("cls").alias("label")),
+                                 "label")
+    fit(ordered_by_key(rows, ["id"]), trees=2, depth=2)
+    assert counter.value == data.count()
+
+
+def test_sampled_vectors_leave_the_rows_alone(spark):
+    rows = spark.range(200).select(F.col("id").cast("string").alias("row_id"),
+                                   F.col("id").cast("double").alias("a"),
+                                   F.lit(1.0).alias("label"))
+    step = features.fit_features(rows, "label", ["row_id", "label"])
+    rows, counter = counted_rows(spark, rows, "a")
+    sample = models.sampled_vectors(step, rows, 7)
+    read = counter.value
+    wanted = {r.row_id for r in split.sample_rows(rows.drop("a"), 7, ["row_id"]).collect()}
+    assert {r.row_id for r in sample.collect()} == wanted == {r.row_id for r in sample.collect()}
+    assert counter.value == read
