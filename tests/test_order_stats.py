@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.operators import order_stats
 from tabwright.operators.order_stats import exact_medians, exact_percentiles
 
 
@@ -33,3 +34,14 @@ def test_whole_numbers(spark):
     df = spark.range(1001).withColumn("h", F.lit(3))
     assert exact_percentiles(df, ["id", "h"], [0.25, 0.5], 10, 10) == {
         "id": [250.0, 500.0], "h": [3.0, 3.0]}
+
+
+def test_only_searched_columns_are_sketched(spark, monkeypatch):
+    sketched = []
+    sketch = order_stats._sketch
+    monkeypatch.setattr(order_stats, "_sketch",
+                        lambda value, shares: sketched.append(str(value)) or sketch(value, shares))
+    df = spark.range(501).withColumn("few", F.col("id") % 3).withColumn("none", F.lit(None).cast("double"))
+    assert exact_percentiles(df, ["few", "id", "none"], [0.5], 20, 10_000) == {
+        "few": [1.0], "id": [250.0], "none": [None]}
+    assert len(sketched) == 1 and "id" in sketched[0]
